@@ -1,0 +1,89 @@
+"""Registered classification queries over the driver tables.
+
+Stand-ins (see FIXTURES.md): ``documents`` is the commodity table (``text`` is
+the description), ``labels`` joined on ``doc_id`` gives the class
+``lang || '/' || good|poor``. Each query has an oracle SQL text for DuckDB
+with identical column names.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators import training as TR
+from tessera.sources.tables import table
+
+SEED = 42
+
+# --- shared stand-in definitions -------------------------------------------
+
+LABELS_SQL = """
+  SELECT l.doc_id,
+         d.lang || '/' || CASE WHEN l.quality = 1 THEN 'good' ELSE 'poor' END AS industry
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+TRAIN_SQL = f"""
+  SELECT DISTINCT lower(trim(d.text)) AS description, lab.industry
+  FROM documents d JOIN ({LABELS_SQL}) lab ON d.doc_id = lab.doc_id
+  WHERE d.text IS NOT NULL AND trim(d.text) <> ''"""
+
+
+def doc_labels(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "lang")
+    lab = table(spark, root, "labels").select("doc_id", "quality")
+    return lab.join(docs, "doc_id").select(
+        "doc_id",
+        F.concat(F.col("lang"), F.lit("/"),
+                 F.when(F.col("quality") == 1, "good").otherwise("poor")).alias("industry"))
+
+
+def training_set(spark: SparkSession, root: str) -> DataFrame:
+    return TR.build_training_set(table(spark, root, "documents"), doc_labels(spark, root),
+                                 "doc_id", "text")
+
+
+# --- queries -----------------------------------------------------------------
+
+def q_training_dataset(spark, root):
+    return training_set(spark, root)
+
+
+def q_class_distribution(spark, root):
+    return TR.class_distribution(training_set(spark, root))
+
+
+def q_hash_split(spark, root):
+    t = training_set(spark, root)
+    key = F.concat_ws("|", "description", "industry")
+    return TR.hash_split(t, key, 80, SEED).select(
+        F.md5(F.col("description")).alias("description_md5"), "industry", "split")
+
+
+QUERIES = {
+    "training_dataset": q_training_dataset,
+    "class_distribution": q_class_distribution,
+    "hash_split": q_hash_split,
+}
+
+ORACLE = {
+    "training_dataset": TRAIN_SQL,
+    "class_distribution": f"""
+      WITH t AS ({TRAIN_SQL}),
+      c AS (SELECT industry, count(*) AS n FROM t GROUP BY industry),
+      s AS (SELECT sum(n) AS tot, count(*) AS k, max(n) AS mx, min(n) AS mn FROM c)
+      SELECT industry, n,
+             round(n * 100.0 / tot, 6) AS pct,
+             round(mx * 1.0 / mn, 6) AS imbalance_ratio,
+             round(mx * 1.0 / n, 6) AS class_ratio,
+             round(tot * 1.0 / (k * n), 6) AS weight_balanced,
+             round(sqrt(mx * 1.0 / n), 6) AS weight_sqrt,
+             round(least(tot * 1.0 / (k * n), 10.0), 6) AS weight_capped
+      FROM c, s""",
+    "hash_split": f"""
+      WITH t AS ({TRAIN_SQL})
+      SELECT md5(description) AS description_md5, industry,
+             CASE WHEN ('0x' || substr(md5('{SEED}|' || description || '|' || industry), 1, 8))::BIGINT % 100 < 80
+                  THEN 'train' ELSE 'test' END AS split
+      FROM t""",
+}
