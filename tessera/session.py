@@ -19,9 +19,19 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # The sheet walk joins per-block carries back onto wide rows; Catalyst's
+    # constraint propagation grows combinatorially on such plans (planning
+    # runs out of memory), and no rule here depends on inferred filters.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
+def tune_for_wide_plans(spark: SparkSession) -> None:
+    """Session settings the sheet operators need when the caller built the
+    session (see DEFAULT_CONF)."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def get_spark(master: str | None = None, app: str = "tessera",
               shuffle_partitions: int | None = None,
               driver_memory: str | None = None,
