@@ -102,3 +102,28 @@ PROMOTION_MIN_F1_GAIN = 0.01
 SOURCE_ML = "ml_accepted"
 SOURCE_FALLBACK = "llm"
 SOURCE_HUMAN = "human"
+
+
+# ---------------------------------------------------------------------------
+# Build choices (not from the original): stop words per language of the test
+# documents and abbreviations expanded by the description cleaner.
+# ---------------------------------------------------------------------------
+STOP_WORDS = [
+    # en
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in",
+    "is", "it", "its", "of", "on", "or", "that", "the", "this", "to", "was", "were",
+    "will", "with",
+    # fr
+    "au", "aux", "avec", "ce", "dans", "de", "des", "du", "elle", "en", "est", "et",
+    "il", "la", "le", "les", "leur", "par", "pour", "qui", "que", "sur", "un", "une",
+    # de
+    "der", "die", "das", "und", "ist", "mit", "von", "zu", "den", "dem", "ein", "eine",
+    "nicht", "auf", "für", "im",
+    # es
+    "el", "los", "las", "y", "del", "con", "por", "para", "una", "es", "se", "lo",
+]
+ABBREVIATIONS = {
+    "qty": "quantity", "pcs": "pieces", "pc": "piece", "assy": "assembly",
+    "equip": "equipment", "mfg": "manufacturing", "elec": "electrical",
+    "pkg": "package", "med": "medical", "auto": "automotive",
+}

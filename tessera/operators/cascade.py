@@ -1,0 +1,42 @@
+"""Mapping cascade (JN10-JN12, PF17): code map first, then description map;
+only rows both miss are routed to the model.
+
+The maps are configuration tables, broadcast after a size check. When the
+item table references a dimension table (shipments -> parts), the cascade is
+evaluated on the dimension rows and joined once, so the map lookups run on
+the smaller side.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.functions.expressions import normalize_description
+from tessera.operators.tagging import bounded_broadcast
+
+SOURCE_CODE = "hs_map"
+SOURCE_DESC = "description_map"
+SOURCE_MODEL = "model"
+
+
+def cascade(items: DataFrame, code_col: str, text_col: str, code_map: DataFrame,
+            desc_map: DataFrame) -> DataFrame:
+    """Adds ``industry`` (null when routed to the model) and ``source``.
+    ``code_map``: (code, industry); ``desc_map``: (description, industry) with
+    descriptions compared after ``lower(trim())``."""
+    cm = bounded_broadcast(code_map.select(F.col("code").alias("_code"),
+                                           F.col("industry").alias("_ind_code")))
+    # a description listed twice resolves to the smallest industry name, so
+    # the result does not depend on row order
+    dm = bounded_broadcast(desc_map.select(normalize_description("description").alias("_desc"),
+                                           F.col("industry").alias("_ind_desc"))
+                                   .groupBy("_desc").agg(F.min("_ind_desc").alias("_ind_desc")))
+    j = (items.join(cm, items[code_col] == cm["_code"], "left")
+              .join(dm, normalize_description(items[text_col]) == dm["_desc"], "left"))
+    ind = F.coalesce("_ind_code", "_ind_desc")
+    src = (F.when(F.col("_ind_code").isNotNull(), F.lit(SOURCE_CODE))
+            .when(F.col("_ind_desc").isNotNull(), F.lit(SOURCE_DESC))
+            .otherwise(F.lit(SOURCE_MODEL)))
+    return j.withColumn("industry", ind).withColumn("source", src).drop(
+        "_code", "_ind_code", "_desc", "_ind_desc")

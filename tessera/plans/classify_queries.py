@@ -87,3 +87,84 @@ ORACLE = {
                   THEN 'train' ELSE 'test' END AS split
       FROM t""",
 }
+
+
+# ===========================================================================
+# description cleaning and term statistics
+# ===========================================================================
+
+from tessera.functions import constants as K  # noqa: E402
+from tessera.functions.expressions import clean_text  # noqa: E402
+from tessera.operators import text_features as TF  # noqa: E402
+
+
+def q_clean_descriptions(spark, root):
+    d = table(spark, root, "documents")
+    return d.select("doc_id", clean_text("text", K.ABBREVIATIONS).alias("clean"))
+
+
+def q_clean_part_names(spark, root):
+    p = table(spark, root, "part")
+    return p.select("p_partkey", clean_text(F.concat_ws(" ", "p_name", "p_brand", "p_type"),
+                                            K.ABBREVIATIONS).alias("clean"))
+
+
+def q_tfidf_terms(spark, root):
+    return TF.top_terms_per_doc(table(spark, root, "documents"), "doc_id", "text", 5)
+
+
+def q_class_vocabulary(spark, root):
+    return TF.class_vocabulary(training_set(spark, root), k=10)
+
+
+def _sql_list(xs):
+    return ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
+
+
+def _clean_sql(expr: str) -> str:
+    abbr = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.ABBREVIATIONS.items())
+    s = (f"trim(regexp_replace(regexp_replace(lower({expr}), '[^\\p{{L}}\\p{{N}} \\t\\n\\r\\f]', ' ', 'g'), "
+         f"'[ \\t\\n\\r\\f]+', ' ', 'g'))")
+    return (f"array_to_string(list_transform(list_filter(string_split({s}, ' '), "
+            f"lambda t: t <> '' AND NOT (length(t) >= 4 AND regexp_matches(t, '[0-9]') AND regexp_matches(t, '\\p{{L}}'))), "
+            f"lambda t: CASE t {abbr} ELSE t END), ' ')")
+
+
+_TOKENS_SQL = "unnest(string_split_regex(lower({c}), '[ \\t\\n\\r\\f]+'))"
+_STOP = _sql_list(K.STOP_WORDS)
+
+ORACLE.update({
+    "clean_descriptions": f"SELECT doc_id, {_clean_sql('text')} AS clean FROM documents",
+    "clean_part_names": f"SELECT p_partkey, {_clean_sql("concat_ws(' ', p_name, p_brand, p_type)")} AS clean FROM part",
+    "tfidf_terms": f"""
+      WITH t AS (SELECT doc_id, {_TOKENS_SQL.format(c='text')} AS term FROM documents),
+      t2 AS (SELECT * FROM t WHERE term <> '' AND term NOT IN ({_STOP})),
+      tf AS (SELECT doc_id, term, count(*) AS tf FROM t2 GROUP BY ALL),
+      df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+      n AS (SELECT count(*) AS n FROM documents),
+      s AS (SELECT tf.doc_id, tf.term, tf.tf, df.df, tf.tf * ln((n.n + 1.0) / (df.df + 1.0)) AS v
+            FROM tf JOIN df USING (term), n),
+      r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, term) AS rank FROM s)
+      SELECT doc_id, term, tf, df, round(v, 6) AS tfidf, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
+    "class_vocabulary": f"""
+      WITH tr AS ({TRAIN_SQL}),
+      t AS (SELECT industry AS cls, {_TOKENS_SQL.format(c='description')} AS term FROM tr),
+      t2 AS (SELECT * FROM t WHERE term <> '' AND term NOT IN ({_STOP})),
+      tc AS (SELECT cls, term, count(*) AS n_tc FROM t2 GROUP BY ALL),
+      nc AS (SELECT cls, sum(n_tc) AS n_c FROM tc GROUP BY cls),
+      nt AS (SELECT term, sum(n_tc) AS n_t FROM tc GROUP BY term),
+      g AS (SELECT sum(n_tc) AS total, count(DISTINCT term) AS vocab FROM tc),
+      s AS (SELECT tc.cls, tc.term, tc.n_tc,
+                   ln((tc.n_tc + 1.0) / (nc.n_c + g.vocab))
+                   - ln((nt.n_t - tc.n_tc + 1.0) / (g.total - nc.n_c + g.vocab)) AS lo
+            FROM tc JOIN nc USING (cls) JOIN nt USING (term), g WHERE tc.n_tc >= 2),
+      r AS (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY lo DESC, term) AS rank FROM s)
+      SELECT cls AS industry, term, CAST(n_tc AS BIGINT) AS n, round(lo, 6) AS log_odds,
+             CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""",
+})
+QUERIES.update({
+    "clean_descriptions": q_clean_descriptions,
+    "clean_part_names": q_clean_part_names,
+    "tfidf_terms": q_tfidf_terms,
+    "class_vocabulary": q_class_vocabulary,
+})
