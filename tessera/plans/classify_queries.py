@@ -482,3 +482,158 @@ ORACLE.update({
               AND ov2.f1 >= ov.f1 + {K.PROMOTION_MIN_F1_GAIN}) AS promote
       FROM ov, ov2""",
 })
+
+
+# ===========================================================================
+# mapping cascade
+# ===========================================================================
+
+from tessera.operators import cascade as CA  # noqa: E402
+
+CODE_MAP = [("Brand#1", "Industrial"), ("Brand#2", "Healthcare"), ("Brand#3", "Aerospace"),
+            ("Brand#4", "Services"), ("Brand#5", "Technology")]
+DESC_MAP = [("red widget", "Technology"), (" Blue Bolt ", "Industrial"),
+            ("small ring", "Consumer Goods - Non Perishables"), ("small ring", "Automotive"),
+            ("green gear", "Automotive")]
+
+
+def q_cascade_assign(spark, root):
+    part = table(spark, root, "part").select("p_partkey", "p_brand", "p_name")
+    cm = spark.createDataFrame(CODE_MAP, "code string, industry string")
+    dm = spark.createDataFrame(DESC_MAP, "description string, industry string")
+    # evaluated on the part rows, then joined once to the shipments
+    pc = CA.cascade(part, "p_brand", "p_name", cm, dm).select("p_partkey", "industry", "source")
+    li = table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return (li.join(pc, li["l_partkey"] == pc["p_partkey"])
+              .select("l_orderkey", "l_linenumber", "industry", "source"))
+
+
+def _values_sql(rows, names):
+    body = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in r) + ")" for r in rows)
+    return f"(SELECT * FROM (VALUES {body}) AS t({', '.join(names)}))"
+
+
+ORACLE["cascade_assign"] = f"""
+  WITH cm AS {_values_sql(CODE_MAP, ['code', 'industry'])},
+  dm AS (SELECT lower(trim(description)) AS d, min(industry) AS ind
+         FROM {_values_sql(DESC_MAP, ['description', 'industry'])} GROUP BY 1),
+  pc AS (SELECT p.p_partkey, coalesce(cm.industry, dm.ind) AS industry,
+                CASE WHEN cm.industry IS NOT NULL THEN '{CA.SOURCE_CODE}'
+                     WHEN dm.ind IS NOT NULL THEN '{CA.SOURCE_DESC}' ELSE '{CA.SOURCE_MODEL}' END AS source
+         FROM part p LEFT JOIN cm ON cm.code = p.p_brand LEFT JOIN dm ON dm.d = lower(trim(p.p_name)))
+  SELECT l.l_orderkey, l.l_linenumber, pc.industry, pc.source
+  FROM lineitem l JOIN pc ON l.l_partkey = pc.p_partkey"""
+QUERIES["cascade_assign"] = q_cascade_assign
+
+
+# ===========================================================================
+# Spark ML text pipeline (rows-only checks: fitted coefficients have no SQL form)
+# ===========================================================================
+
+from tessera.plans import ml as ML  # noqa: E402
+from tessera.streaming import incremental as INC  # noqa: E402
+
+_LR_CACHE: dict = {}
+PRECISION_FIRST_MIN_CONF = 0.5
+
+
+def split_training(spark, root):
+    t = training_set(spark, root)
+    return TR.hash_split(t, F.concat_ws("|", "description", "industry"), 80, SEED)
+
+
+def lr_model(spark, root, counts: bool = False, classifier: str = "lr"):
+    key = (id(spark), root, counts, classifier)
+    if key not in _LR_CACHE:
+        train = split_training(spark, root).filter(F.col("split") == "train")
+        pipe = ML.text_pipeline(counts=counts, classifier=classifier,
+                                num_features=1 << 14 if classifier != "lr" else 1 << 16)
+        _LR_CACHE[key] = ML.fit(train, pipe)
+    return _LR_CACHE[key]
+
+
+def lr_test_predictions(spark, root, classifier: str = "lr"):
+    test = split_training(spark, root).filter(F.col("split") == "test")
+    return ML.predict(lr_model(spark, root, classifier=classifier), test)
+
+
+def q_lr_predictions(spark, root):
+    p = lr_test_predictions(spark, root)
+    p = RT.abstain(p.withColumn("accepted_label", F.col("prediction")), PRECISION_FIRST_MIN_CONF,
+                   "accepted_label", "confidence")
+    return p.select(F.md5("description").alias("description_md5"), "industry", "prediction",
+                    F.round("confidence", 6).alias("confidence"), F.round("gap", 6).alias("gap"),
+                    "accepted_label")
+
+
+def q_lr_class_metrics(spark, root):
+    return EV.class_metrics(EV.confusion(lr_test_predictions(spark, root), "industry", "prediction"))
+
+
+def q_lr_top_terms(spark, root):
+    return ML.top_terms(lr_model(spark, root, counts=True), spark, k=10)
+
+
+def q_model_comparison(spark, root):
+    import time as _t
+    rows = []
+    for clf in ("lr", "rf", "gbt"):
+        t0 = _t.time()
+        lr_model(spark, root, classifier=clf)
+        secs = _t.time() - t0
+        ov = EV.overall_metrics(EV.confusion(lr_test_predictions(spark, root, clf),
+                                             "industry", "prediction")).first()
+        rows.append((clf, float(ov["accuracy"]), float(ov["f1"]), round(secs, 2)))
+    return spark.createDataFrame(rows, "model string, accuracy double, f1 double, train_seconds double")
+
+
+def q_capacity_report(spark, root):
+    docs = table(spark, root, "documents").select(
+        TR.normalize_description("text").alias("description"))
+    return ML.capacity_report(spark, lr_model(spark, root), docs)
+
+
+def q_stream_routing(spark, root):
+    """SM1 + SM2 on the vectors: the champion model scores new files as a
+    stream; every micro-batch is routed and appended to the unified sink."""
+    model = centroid_model(spark, root)
+    schema = table(spark, root, "embeddings").schema
+
+    def score(batch):
+        v = batch.select(
+            F.col("vec_id").alias("id"),
+            F.element_at(F.lit(K.INDUSTRIES), (F.col("label") + 1).cast("int")).alias("industry"),
+            "embedding")
+        s = RT.route(model.score(v))
+        return s.select("id", "industry", "pred", F.round("confidence", 6).alias("confidence"),
+                        F.round("gap", 6).alias("gap"), "ood", "route")
+
+    sink = INC.run_incremental(spark, INC.source_glob(root, "embeddings"), schema, score)
+    return INC.read_sink(spark, sink)
+
+
+def q_stream_scoring(spark, root):
+    """SM1 on documents: the text pipeline scores new documents incrementally."""
+    model = lr_model(spark, root)
+    schema = table(spark, root, "documents").schema
+
+    def score(batch):
+        d = batch.select("doc_id", TR.normalize_description("text").alias("description"))
+        p = RT.route(ML.predict(model, d).withColumn("ood", F.lit(False)))
+        return p.select("doc_id", F.col("prediction").alias("industry_label"),
+                        F.round("confidence", 6).alias("confidence"), "route")
+
+    sink = INC.run_incremental(spark, INC.source_glob(root, "documents"), schema, score)
+    return INC.read_sink(spark, sink)
+
+
+QUERIES.update({
+    "lr_predictions": q_lr_predictions,
+    "lr_class_metrics": q_lr_class_metrics,
+    "lr_top_terms": q_lr_top_terms,
+    "model_comparison": q_model_comparison,
+    "capacity_report": q_capacity_report,
+    "stream_routing": q_stream_routing,
+    "stream_scoring": q_stream_scoring,
+})
+ORACLE["stream_routing"] = ORACLE["route_predictions"]
