@@ -44,7 +44,8 @@ def read_reference_csv(spark: SparkSession, path: str) -> DataFrame:
     row_in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return df.select(
         F.col("_metadata.file_path").alias("sheet_id"),
-        F.struct(F.col("_metadata.file_block_start"), row_in_split).alias("ref_seq"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 row_in_split.alias("row_in_split")).alias("ref_seq"),
         *sel)
 
 

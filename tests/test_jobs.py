@@ -1,0 +1,51 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from tessera.functions import constants as K
+from tessera.operators import tagging as TG
+from tessera.plans import sheet_jobs as SJ
+from tessera.sources.sinks import write_table
+
+RULE_SCHEMA = "half int, label string, " + ", ".join(f"{d} string" for d in K.DIM_COLS)
+
+
+def _write_csv(path, lines):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_csv_sheet_end_to_end(spark):
+    d = tempfile.mkdtemp(prefix="tessera-test-")
+    path = os.path.join(d, "sheet.csv")
+    header = ["Label", "x"] + [f"CY{y}" for y in range(16, 33)] + ["CY2017"]
+    rows = [",".join(header),
+            "Express," + ",".join(["1"] * 18) + ",99",
+            " ,1,2",
+            "EC % of Total,1",
+            "Ground,0,\"1,234.5\",45%,-,#DIV/0!",
+            "Deferred Ground,0,7",
+            "B2C Express,0,8",
+            "Core Ground,0, 9 "]
+    _write_csv(path, rows)
+    rules = TG.SectionRules(fixed=spark.createDataFrame([], RULE_SCHEMA),
+                            context=spark.createDataFrame([], RULE_SCHEMA))
+    out = SJ.normalize_by_section(spark, path, rules).orderBy("row_num").collect()
+    assert [r.ADV_millions for r in out] == ["Express", "Ground", "Deferred Ground", "Core Ground"]
+    assert [r.row_num for r in out] == [1, 2, 3, 4]
+    # CY2017 at the end reads as year 20 and, being last, wins
+    assert out[0].CY20 == 99.0 and out[0].CY16 == 1.0
+    assert (out[1].CY16, out[1].CY17, out[1].CY18, out[1].CY19) == (1234.5, 45.0, None, None)
+    assert out[3].CY16 == 9.0 and out[3].CY17 is None
+    long, dups = SJ.unpivot_and_check(SJ.normalize_by_section(spark, path, rules))
+    assert long.count() == 4 * 17 and dups.count() == 0
+
+
+def test_write_table_reports_rows(spark):
+    d = tempfile.mkdtemp(prefix="tessera-sink-")
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    assert write_table(df, write=False, path=os.path.join(d, "t")) is None
+    assert write_table(df, write=True, path=os.path.join(d, "t")) == 10
+    assert write_table(df, mode="append", write=True, path=os.path.join(d, "t")) == 10
+    assert spark.read.parquet(os.path.join(d, "t")).count() == 20

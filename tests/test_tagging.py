@@ -1,0 +1,91 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.functions import constants as K
+from tessera.operators import tagging as TG
+from tessera.operators.ordered import block_of
+from tessera.operators.sheet import RowRules
+
+DIMS = K.DIM_COLS
+RULE_SCHEMA = "half int, label string, " + ", ".join(f"{d} string" for d in DIMS)
+
+
+def _rows(spark, labels, years=None):
+    data = []
+    for i, lab in enumerate(labels):
+        ys = (years[i] if years else [None] * 17)
+        data.append((1, i + 1, lab, *ys))
+    schema = "sheet_id long, seq long, label string, " + ", ".join(f"{y} double" for y in K.YEAR_COLS)
+    return spark.createDataFrame(data, schema)
+
+
+def _ctx(*rows):
+    return [(h, lab, *[d.get(x) for x in DIMS]) for h, lab, d in rows]
+
+
+def test_section_context_carry(spark):
+    labels = ["B2C Express", "Core Ground", "ADV (millions)", "Express", "Empty Head", "Ground"]
+    rules = TG.SectionRules(
+        fixed=spark.createDataFrame([], RULE_SCHEMA),
+        context=spark.createDataFrame(_ctx(
+            (1, "B2C Express", {"segment_code": "B2C", "resi_code": "Resi"}),
+            (2, "Empty Head", {})), RULE_SCHEMA))
+    out = (TG.tag_by_section(_rows(spark, labels), RowRules(), rules, block=block_of("seq", 2))
+           .orderBy("row_num").collect())
+    assert [r.ADV_millions for r in out] == ["B2C Express", "Core Ground", "Express", "Empty Head", "Ground"]
+    assert [r.segment_code for r in out] == ["B2C", "B2C", "B2C", "B2C", None]
+    assert [r.resi_code for r in out] == ["Resi", "Resi", "Resi", "Resi", None]
+    assert [r.Product for r in out] == ["Total-Express", "Ground-Core", "Total-Express", None, "Total-Ground"]
+    assert all(r.gig == "non-gig" for r in out)
+
+
+def test_fixed_rules_win_and_traditional_segment(spark):
+    labels = ["Traditional B2B", "B2B Express SAM", "Plain"]
+    rules = TG.SectionRules(
+        fixed=spark.createDataFrame(_ctx((1, "Plain", {"gig": "gig", "Zone_cd": "Z"})), RULE_SCHEMA),
+        context=spark.createDataFrame(_ctx(
+            (1, "Traditional B2B", {"segment_code": "Traditional B2B"})), RULE_SCHEMA))
+    out = TG.tag_by_section(_rows(spark, labels), RowRules(), rules).orderBy("row_num").collect()
+    # a header is tagged with the context before it; its child inherits its context
+    assert out[0].segment_code == "B2B" and out[0].resi_code == "Non-Resi"
+    assert out[1].segment_code == "Traditional B2B" and out[1].resi_code is None
+    assert out[1].size_code == "SAM" and out[1].Product == "Total-Express"
+    assert (out[2].gig, out[2].Zone_cd, out[2].segment_code) == ("gig", "Z", None)
+
+
+def _ref(spark, rows):
+    schema = ("sheet_id long, ref_seq long, " + K.LABEL_COL + " string, "
+              + ", ".join(f"{d} string" for d in DIMS) + ", " + ", ".join(f"{y} string" for y in K.YEAR_COLS))
+    return spark.createDataFrame(rows, schema)
+
+
+def test_lookup_null_safe_last_wins_and_misses(spark):
+    y1 = [1.0] + [None] * 16
+    labels = ["A", "B", "A", "B", "A", "C"]
+    rows = _rows(spark, labels, [y1] * len(labels))
+    ystr = ["1"] + [None] * 16
+    ref = _ref(spark, [(1, i + 1, lab, f"g{i + 1}", *[None] * 7, *ystr)
+                       for i, lab in enumerate(labels[:5])]
+               + [(1, 6, " C ", "null", *[None] * 7, *(["1.0"] + [None] * 16))])
+    out = TG.tag_by_lookup(rows, ref, RowRules()).orderBy("row_num").collect()
+    # rows 2 and 4 share the key (B, A, A, years): the last reference row wins
+    assert [r.gig for r in out] == ["g1", "g4", "g3", "g4", "g5", None]
+    assert TG.lookup_misses(rows, ref, RowRules()).count() == 0
+    ref2 = ref.filter(F.col(K.LABEL_COL) != " C ")
+    miss = TG.lookup_misses(rows, ref2, RowRules()).orderBy("row_num").collect()
+    assert [(m.label, m.prev_label, m.next_label) for m in miss] == [("A", "B", "C"), ("C", "A", "")]
+    with pytest.raises(Exception):
+        TG.tag_by_lookup(rows, ref2, RowRules(), strict=True).collect()
+
+
+def test_position_map(spark):
+    rows = _rows(spark, ["A", "EC % of Total", "B", "C"])
+    pm = spark.createDataFrame([(1, 1, "A", "x"), (1, 2, "Z", "y")],
+                               "sheet_id long, row_num int, label string, gig string")
+    for d in DIMS[1:]:
+        pm = pm.withColumn(d, F.lit(None).cast("string"))
+    out = TG.tag_by_position(rows, pm, RowRules()).orderBy("row_num").collect()
+    assert [(r.ADV_millions, r.gig, r.label_matches) for r in out] == [
+        ("A", "x", True), ("B", "y", False), ("C", None, False)]
+    with pytest.raises(Exception):
+        TG.tag_by_position(rows, pm, RowRules(), strict=True).collect()

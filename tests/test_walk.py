@@ -1,0 +1,100 @@
+"""The window form of the row walk against a sequential walk written from the rules."""
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.functions import constants as K
+from tessera.operators.ordered import LAST, MAX, NEXT, SUM, Scan, block_of, ordered_scan
+from tessera.operators.sheet import RowRules, walk_rows
+
+ALPHABET = ["Addressable Mix", "Deferred Ground", "B2C Express", "SAM", "Large", "ADV (millions)",
+            "EC % of Total", "Express", "Ground", "Core Ground", "", None, "  SAM ", "Other"]
+
+
+def sequential(labels, rules: RowRules):
+    cand = rules.candidates()
+    prev, half, out = "", 1, []
+    for lab in labels:
+        lab = (lab or "").strip()
+        if not lab:
+            continue
+        if lab in rules.exclude:
+            if lab == rules.half_marker:
+                half = 2
+            prev = lab
+            continue
+        if lab in cand and prev == cand[lab]:
+            continue
+        out.append((lab, half))
+        prev = lab
+    return out
+
+
+def _frame(spark, sheets):
+    rows = [(sid, i, lab) for sid, labels in enumerate(sheets) for i, lab in enumerate(labels)]
+    df = spark.createDataFrame(rows, "sheet_id long, seq long, raw string")
+    return df.withColumn("label", F.trim(F.coalesce("raw", F.lit(""))))
+
+
+@pytest.mark.parametrize("block_rows", [None, 3, 7])
+def test_walk_matches_sequential(spark, block_rows):
+    rng = random.Random(7 + (block_rows or 0))
+    sheets = [[rng.choice(ALPHABET) for _ in range(rng.randint(0, 40))] for _ in range(300)]
+    rules = RowRules()
+    block = block_of("seq", block_rows) if block_rows else None
+    got = (walk_rows(_frame(spark, sheets), rules, block=block)
+           .filter("emitted").select("sheet_id", "seq", "label", "half", "row_num").collect())
+    by_sheet = {}
+    for r in sorted(got, key=lambda r: (r.sheet_id, r.seq)):
+        by_sheet.setdefault(r.sheet_id, []).append((r.label, r.half))
+        assert r.row_num == len(by_sheet[r.sheet_id])
+    for sid, labels in enumerate(sheets):
+        assert by_sheet.get(sid, []) == sequential(labels, rules), (sid, labels)
+
+
+CASES = [
+    (["Addressable Mix", "SAM", "Large"], []),
+    (["Addressable Mix", "SAM", "B2C Express", "Large"], ["B2C Express", "Large"]),
+    (["Deferred Ground", "B2C Express", "B2C Express"], ["Deferred Ground"]),
+    (["Deferred Ground", "SAM", "B2C Express"], ["Deferred Ground", "SAM", "B2C Express"]),
+    (["Deferred Ground", "", "B2C Express"], ["Deferred Ground"]),
+]
+
+
+@pytest.mark.parametrize("labels,want", CASES)
+def test_candidate_cases(spark, labels, want):
+    out = (walk_rows(_frame(spark, [labels]), RowRules(), block=block_of("seq", 2))
+           .filter("emitted").orderBy("seq").select("label").collect())
+    assert [r.label for r in out] == want
+
+
+def test_neighbours_and_state(spark):
+    labels = ["Express", "EC % of Total", "Ground", "Deferred Ground", "B2C Express", "Core Ground"]
+    out = (walk_rows(_frame(spark, [labels]), RowRules(), block=block_of("seq", 2))
+           .filter("emitted").orderBy("seq").collect())
+    assert [r.label for r in out] == ["Express", "Ground", "Deferred Ground", "Core Ground"]
+    assert [r.prev_label for r in out] == ["", "Express", "Ground", "Deferred Ground"]
+    assert [r.next_label for r in out] == ["Ground", "Deferred Ground", "Core Ground", ""]
+    assert [r.prev_state for r in out] == ["", "EC % of Total", "Ground", "Deferred Ground"]
+
+
+def test_trigger_may_not_be_candidate():
+    with pytest.raises(ValueError):
+        RowRules(skip_rules=[(["A"], "B"), (["B"], "C")]).candidates()
+
+
+@pytest.mark.parametrize("block_rows", [1, 2, 5])
+def test_ordered_scan_blocks_equal_plain_windows(spark, block_rows):
+    rng = random.Random(block_rows)
+    rows = [(s, i, rng.choice([None, "a", "b", "c"]), rng.randint(0, 3))
+            for s in range(20) for i in range(rng.randint(0, 15))]
+    df = spark.createDataFrame(rows, "p long, o long, v string, n int")
+    scans = [Scan("last_in", LAST, F.col("v"), True), Scan("last_ex", LAST, F.col("v"), False),
+             Scan("nxt", NEXT, F.col("v")), Scan("s_in", SUM, F.col("n"), True),
+             Scan("s_ex", SUM, F.col("n"), False), Scan("mx", MAX, F.col("n"), True)]
+    cols = ["p", "o", "last_in", "last_ex", "nxt", "s_in", "s_ex", "mx"]
+    plain = sorted(tuple(r) for r in ordered_scan(df, ["p"], ["o"], scans, None).select(cols).collect())
+    blocked = sorted(tuple(r) for r in ordered_scan(df, ["p"], ["o"], scans,
+                                                     block_of("o", block_rows)).select(cols).collect())
+    assert plain == blocked
