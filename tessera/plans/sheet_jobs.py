@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions import constants as K
 from tessera.operators import reshape as RS
 from tessera.operators import tagging as TG
-from tessera.operators.sheet import RowRules, attach_header, header_positions, with_label
+from tessera.operators.sheet import RowRules, prepare_rows
 from tessera.session import tune_for_wide_plans
 from tessera.sources.sheet import read_reference_csv, read_sheet_csv
 from tessera.sources.sinks import write_table
@@ -24,8 +24,7 @@ from tessera.sources.sinks import write_table
 def sheet_rows(spark: SparkSession, path: str) -> DataFrame:
     """Raw CSV sheet(s) -> rows with label and year positions (SC1, SC2, PF1)."""
     tune_for_wide_plans(spark)
-    raw = read_sheet_csv(spark, path)
-    return with_label(attach_header(raw, header_positions(raw)))
+    return prepare_rows(read_sheet_csv(spark, path))
 
 
 def _finish(spark, df, target, write_mode, write_to_table, fmt):

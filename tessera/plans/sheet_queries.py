@@ -21,8 +21,8 @@ from tessera.functions import constants as K
 from tessera.operators import reshape as RS
 from tessera.operators import tagging as TG
 from tessera.operators.ordered import LAST, Scan, ordered_scan
-from tessera.operators.sheet import (RowRules, attach_header, default_block, emitted_rows,
-                                     header_positions, parse_years, walk_rows, with_label)
+from tessera.operators.sheet import (RowRules, auto_block, default_block, emitted_rows,
+                                     header_positions, prepare_rows)
 from tessera.session import tune_for_wide_plans
 from tessera.sources.tables import table
 
@@ -116,8 +116,8 @@ def raw_sheet(spark: SparkSession, root: str) -> DataFrame:
 
 
 def parsed_rows(spark: SparkSession, root: str) -> DataFrame:
-    raw = raw_sheet(spark, root)
-    return with_label(attach_header(raw, header_positions(raw)))
+    """Typed rows of the test sheets, written once per call (see prepare_rows)."""
+    return prepare_rows(raw_sheet(spark, root))
 
 
 def section_rules(spark: SparkSession) -> TG.SectionRules:
@@ -128,10 +128,10 @@ def section_rules(spark: SparkSession) -> TG.SectionRules:
         size_substrings=TEST_SIZE_SUBSTRINGS, segment_substrings=TEST_SEGMENT_SUBSTRINGS)
 
 
-def reference_sheet(spark: SparkSession, root: str, drop_label: str | None = None) -> DataFrame:
+def reference_sheet(rows: DataFrame, drop_label: str | None = None) -> DataFrame:
     """A reference sheet (the expected output) for the lookup tagger: the
     emitted rows with codes assigned by rule; years as text."""
-    em = parse_years(emitted_rows(parsed_rows(spark, root), TEST_ROW_RULES, block=default_block()))
+    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
     if drop_label:
         em = em.filter(F.col("label") != drop_label)
     return em.select(
@@ -146,9 +146,9 @@ def reference_sheet(spark: SparkSession, root: str, drop_label: str | None = Non
         *[F.col(y).cast("string").alias(y) for y in YEARS])
 
 
-def position_map(spark: SparkSession, root: str) -> DataFrame:
-    ref = reference_sheet(spark, root)
-    em = parse_years(emitted_rows(parsed_rows(spark, root), TEST_ROW_RULES, block=default_block()))
+def position_map(rows: DataFrame) -> DataFrame:
+    ref = reference_sheet(rows)
+    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
     keyed = ref.join(em.select("sheet_id", F.col("seq").alias("ref_seq"), "row_num"),
                      ["sheet_id", "ref_seq"])
     return keyed.select("sheet_id", "row_num", F.col(K.LABEL_COL).alias("label"),
@@ -156,8 +156,8 @@ def position_map(spark: SparkSession, root: str) -> DataFrame:
 
 
 def tagged_by_section(spark, root):
-    return TG.tag_by_section(parsed_rows(spark, root), TEST_ROW_RULES, section_rules(spark),
-                             block=default_block())
+    rows = parsed_rows(spark, root)
+    return TG.tag_by_section(rows, TEST_ROW_RULES, section_rules(spark), block=auto_block(rows))
 
 
 # ---------------------------------------------------------------------------
@@ -169,16 +169,19 @@ def q_header_positions(spark, root):
 
 
 def q_parse_cells(spark, root):
-    return parse_years(parsed_rows(spark, root)).select("sheet_id", "seq", "label", *YEARS)
+    # nothing reads these rows twice, so they are not written first
+    return prepare_rows(raw_sheet(spark, root), write=False).select("sheet_id", "seq", "label", *YEARS)
 
 
 def q_emitted_rows(spark, root):
-    em = emitted_rows(parsed_rows(spark, root), TEST_ROW_RULES, block=default_block())
+    rows = parsed_rows(spark, root)
+    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
     return em.select("sheet_id", "seq", "row_num", "label", "half", "prev_state")
 
 
 def q_neighbor_labels(spark, root):
-    em = emitted_rows(parsed_rows(spark, root), TEST_ROW_RULES, block=default_block())
+    rows = parsed_rows(spark, root)
+    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
     return em.select("sheet_id", "row_num", "label", "prev_label", "next_label")
 
 
@@ -187,19 +190,22 @@ def q_tag_by_section(spark, root):
 
 
 def q_tag_by_lookup(spark, root):
-    return TG.tag_by_lookup(parsed_rows(spark, root), reference_sheet(spark, root), TEST_ROW_RULES,
-                            block=default_block(), ref_block=default_block("ref_seq"))
+    rows = parsed_rows(spark, root)
+    ref = reference_sheet(rows)
+    return TG.tag_by_lookup(rows, ref, TEST_ROW_RULES, block=auto_block(rows),
+                            ref_block=auto_block(ref, order="ref_seq"))
 
 
 def q_lookup_misses(spark, root):
-    ref = reference_sheet(spark, root, drop_label=MISSING_FROM_REFERENCE)
-    return TG.lookup_misses(parsed_rows(spark, root), ref, TEST_ROW_RULES,
-                            block=default_block(), ref_block=default_block("ref_seq"))
+    rows = parsed_rows(spark, root)
+    ref = reference_sheet(rows, drop_label=MISSING_FROM_REFERENCE)
+    return TG.lookup_misses(rows, ref, TEST_ROW_RULES, block=auto_block(rows),
+                            ref_block=auto_block(ref, order="ref_seq"))
 
 
 def q_tag_by_position(spark, root):
-    return TG.tag_by_position(parsed_rows(spark, root), position_map(spark, root), TEST_ROW_RULES,
-                              block=default_block())
+    rows = parsed_rows(spark, root)
+    return TG.tag_by_position(rows, position_map(rows), TEST_ROW_RULES, block=auto_block(rows))
 
 
 def q_section_carry_forward(spark, root):
@@ -207,7 +213,7 @@ def q_section_carry_forward(spark, root):
     conv = table(spark, root, "conversations").select("conv_id", "turn", "role")
     out = ordered_scan(conv, ["conv_id"], ["turn"], [
         Scan("last_user_turn", LAST, F.when(F.col("role") == "user", F.col("turn")), False)],
-        default_block("turn"))
+        auto_block(conv, "conv_id", "turn"))
     return out.select("conv_id", "turn", "role", "last_user_turn")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,7 @@ from pyspark.sql import SparkSession
 # splits skewed shuffle partitions, which is how hot keys are survived.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -77,6 +79,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-path of the shared checkpoint folder for written intermediate tables."""
+    """A fresh sub-path of the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}"
+    return f"{base}/{name}-{uuid.uuid4().hex[:16]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as a parquet table in the shared checkpoint
+    folder and return a lazy read of it. Unlike an RDD checkpoint, later
+    readers get column pruning and filter pushdown, and the table survives
+    the loss of any executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
