@@ -641,3 +641,20 @@ QUERIES.update({
     "stream_scoring": q_stream_scoring,
 })
 ORACLE["stream_routing"] = ORACLE["route_predictions"]
+
+
+# ===========================================================================
+# plain JSON payloads (the same parser as the fallback replies)
+# ===========================================================================
+
+def q_event_props(spark, root):
+    ev = table(spark, root, "events").select("event_id", "event_type", "props")
+    p = ev.select("event_id", "event_type", F.from_json("props", "k INT").alias("j"))
+    return p.select("event_id", "event_type", F.col("j.k").alias("k"))
+
+
+QUERIES["event_props"] = q_event_props
+ORACLE["event_props"] = """
+  SELECT event_id, event_type,
+         CASE WHEN json_valid(props) THEN TRY_CAST(json_extract(props, '$.k') AS INTEGER) END AS k
+  FROM events"""

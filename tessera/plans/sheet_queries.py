@@ -128,10 +128,13 @@ def section_rules(spark: SparkSession) -> TG.SectionRules:
         size_substrings=TEST_SIZE_SUBSTRINGS, segment_substrings=TEST_SEGMENT_SUBSTRINGS)
 
 
-def reference_sheet(rows: DataFrame, drop_label: str | None = None) -> DataFrame:
+_UNSET = object()
+
+
+def reference_sheet(rows: DataFrame, drop_label: str | None = None, blk=_UNSET) -> DataFrame:
     """A reference sheet (the expected output) for the lookup tagger: the
     emitted rows with codes assigned by rule; years as text."""
-    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
+    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows) if blk is _UNSET else blk)
     if drop_label:
         em = em.filter(F.col("label") != drop_label)
     return em.select(
@@ -146,9 +149,10 @@ def reference_sheet(rows: DataFrame, drop_label: str | None = None) -> DataFrame
         *[F.col(y).cast("string").alias(y) for y in YEARS])
 
 
-def position_map(rows: DataFrame) -> DataFrame:
-    ref = reference_sheet(rows)
-    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
+def position_map(rows: DataFrame, blk=_UNSET) -> DataFrame:
+    blk = auto_block(rows) if blk is _UNSET else blk
+    ref = reference_sheet(rows, blk=blk)
+    em = emitted_rows(rows, TEST_ROW_RULES, block=blk)
     keyed = ref.join(em.select("sheet_id", F.col("seq").alias("ref_seq"), "row_num"),
                      ["sheet_id", "ref_seq"])
     return keyed.select("sheet_id", "row_num", F.col(K.LABEL_COL).alias("label"),
@@ -191,21 +195,22 @@ def q_tag_by_section(spark, root):
 
 def q_tag_by_lookup(spark, root):
     rows = parsed_rows(spark, root)
-    ref = reference_sheet(rows)
-    return TG.tag_by_lookup(rows, ref, TEST_ROW_RULES, block=auto_block(rows),
-                            ref_block=auto_block(ref, order="ref_seq"))
+    blk = auto_block(rows)
+    return TG.tag_by_lookup(rows, reference_sheet(rows, blk=blk), TEST_ROW_RULES, block=blk,
+                            ref_block=_ref_block(blk))
 
 
 def q_lookup_misses(spark, root):
     rows = parsed_rows(spark, root)
-    ref = reference_sheet(rows, drop_label=MISSING_FROM_REFERENCE)
-    return TG.lookup_misses(rows, ref, TEST_ROW_RULES, block=auto_block(rows),
-                            ref_block=auto_block(ref, order="ref_seq"))
+    blk = auto_block(rows)
+    ref = reference_sheet(rows, drop_label=MISSING_FROM_REFERENCE, blk=blk)
+    return TG.lookup_misses(rows, ref, TEST_ROW_RULES, block=blk, ref_block=_ref_block(blk))
 
 
 def q_tag_by_position(spark, root):
     rows = parsed_rows(spark, root)
-    return TG.tag_by_position(rows, position_map(rows), TEST_ROW_RULES, block=auto_block(rows))
+    blk = auto_block(rows)
+    return TG.tag_by_position(rows, position_map(rows, blk), TEST_ROW_RULES, block=blk)
 
 
 def q_section_carry_forward(spark, root):
@@ -230,7 +235,19 @@ def q_pivot_duplicates_no_rownum(spark, root):
     return RS.pivot_duplicates(tagged_by_section(spark, root), with_row_num=False)
 
 
+def _ref_block(rows_block):
+    """Reference sheets are built from emitted rows, so no reference sheet is
+    larger than its sheet: the sheet's block decision holds for it too."""
+    return None if rows_block is None else default_block("ref_seq")
+
+
+def q_reference_key_duplicates(spark, root):
+    rows = parsed_rows(spark, root)
+    return TG.key_duplicates(reference_sheet(rows), block=_ref_block(auto_block(rows)))
+
+
 QUERIES = {
+    "reference_key_duplicates": q_reference_key_duplicates,
     "header_positions": q_header_positions,
     "parse_cells": q_parse_cells,
     "emitted_rows": q_emitted_rows,
@@ -463,6 +480,9 @@ ORACLE = {
               {", ".join(f"m.{d}" for d in DIMS)}, {", ".join("e." + y for y in YEARS)},
               coalesce(m.label = e.label, false) AS label_matches
          FROM emy e LEFT JOIN refn m ON m.sheet_id = e.sheet_id AND m.ref_row = e.row_num""",
+    "reference_key_duplicates": _with(O_HDR, O_PARSED, O_WALK, _ref_sql(None))
+    + f""" SELECT sheet_id, label, prev_label, next_label, {", ".join(YEARS)}, count(*) AS n
+         FROM refn GROUP BY ALL HAVING count(*) > 1""",
     "section_carry_forward": """
       SELECT conv_id, turn, role,
              last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS)

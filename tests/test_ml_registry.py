@@ -1,0 +1,43 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from tessera.operators.routing import champion
+from tessera.plans import classify_queries as CQ
+from tessera.plans import ml as ML
+from tessera.sources.sinks import read_registry, register_model
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_pipeline_save_load_score_and_register(spark):
+    d = tempfile.mkdtemp(prefix="tessera-ml-")
+    train = CQ.split_training(spark, SF).filter("split = 'train'")
+    model = ML.fit(train, ML.text_pipeline(num_features=1 << 10, max_iter=5))
+    ML.save(model, os.path.join(d, "m1"))
+    loaded = ML.load(os.path.join(d, "m1"))
+    a = ML.predict(model, train).select("prediction").collect()
+    b = ML.predict(loaded, train).select("prediction").collect()
+    assert a == b
+    assert ML.create_training_table(train, path=os.path.join(d, "train")) == train.count()
+    docs = train.withColumn("id", F.monotonically_increasing_id())
+    assert ML.write_features(model, docs, "id", os.path.join(d, "features")) == train.count()
+    n = ML.score_batch(loaded, docs, "id", os.path.join(d, "scored"), "v1")
+    assert n == train.count()
+    assert set(r.route for r in spark.read.parquet(os.path.join(d, "scored")).collect()) <= {"accept", "escalate"}
+    reg = os.path.join(d, "registry")
+    register_model(spark, reg, "industry", 1, 0.50, os.path.join(d, "m1"), True)
+    register_model(spark, reg, "industry", 2, 0.49, os.path.join(d, "m2"), False)
+    register_model(spark, reg, "industry", 3, 0.55, os.path.join(d, "m3"), True)
+    ch = champion(read_registry(spark, reg)).collect()
+    assert [(r.model, r.version) for r in ch] == [("industry", 3)]
+
+
+def test_class_weights_sum_to_n(spark):
+    from tessera.operators.training import class_distribution
+    t = CQ.training_set(spark, SF)
+    n = t.count()
+    cd = class_distribution(t).collect()
+    assert abs(sum(r.weight_balanced * r.n for r in cd) - n) < 1e-3 * n
+    assert abs(sum(r.pct for r in cd) - 100.0) < 1e-3
