@@ -22,8 +22,8 @@ from tessera.operators import reshape as RS
 from tessera.operators import tagging as TG
 from tessera.operators.ordered import LAST, Scan, ordered_scan
 from tessera.operators.sheet import (RowRules, auto_block, default_block, emitted_rows,
-                                     header_positions, prepare_rows)
-from tessera.session import tune_for_wide_plans
+                                     header_positions, prepare, prepare_rows)
+from tessera.session import materialize, tune_for_wide_plans
 from tessera.sources.tables import table
 
 YEARS = K.YEAR_COLS
@@ -101,7 +101,13 @@ def _header_cell(k: int) -> F.Column:
 
 
 def raw_sheet(spark: SparkSession, root: str) -> DataFrame:
-    """(sheet_id, seq, cells): header row at seq 0, then the data rows."""
+    """(sheet_id, seq, cells): header row at seq 0, then the data rows. The
+    test sheet stands in for a stored file, so it is written once as a table
+    in the shared checkpoint folder and read from there."""
+    return materialize(build_raw_sheet(spark, root), "raw-sheet")
+
+
+def build_raw_sheet(spark: SparkSession, root: str) -> DataFrame:
     src = sheet_src(spark, root)
     extra = (F.when(F.col("sheet_id") % 4 == 0, F.lit("CY2017"))
               .when(F.col("sheet_id") % 4 == 1, F.lit("CY33"))
@@ -115,9 +121,13 @@ def raw_sheet(spark: SparkSession, root: str) -> DataFrame:
     return header.unionByName(data)
 
 
+def prepared(spark: SparkSession, root: str):
+    """Typed rows of the test sheets and their scan layout (see sheet.prepare)."""
+    return prepare(raw_sheet(spark, root))
+
+
 def parsed_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Typed rows of the test sheets, written once per call (see prepare_rows)."""
-    return prepare_rows(raw_sheet(spark, root))
+    return prepared(spark, root)[0]
 
 
 def section_rules(spark: SparkSession) -> TG.SectionRules:
@@ -160,8 +170,8 @@ def position_map(rows: DataFrame, blk=_UNSET) -> DataFrame:
 
 
 def tagged_by_section(spark, root):
-    rows = parsed_rows(spark, root)
-    return TG.tag_by_section(rows, TEST_ROW_RULES, section_rules(spark), block=auto_block(rows))
+    rows, blk = prepared(spark, root)
+    return TG.tag_by_section(rows, TEST_ROW_RULES, section_rules(spark), block=blk)
 
 
 # ---------------------------------------------------------------------------
@@ -178,14 +188,14 @@ def q_parse_cells(spark, root):
 
 
 def q_emitted_rows(spark, root):
-    rows = parsed_rows(spark, root)
-    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
+    rows, blk = prepared(spark, root)
+    em = emitted_rows(rows, TEST_ROW_RULES, block=blk)
     return em.select("sheet_id", "seq", "row_num", "label", "half", "prev_state")
 
 
 def q_neighbor_labels(spark, root):
-    rows = parsed_rows(spark, root)
-    em = emitted_rows(rows, TEST_ROW_RULES, block=auto_block(rows))
+    rows, blk = prepared(spark, root)
+    em = emitted_rows(rows, TEST_ROW_RULES, block=blk)
     return em.select("sheet_id", "row_num", "label", "prev_label", "next_label")
 
 
@@ -194,22 +204,19 @@ def q_tag_by_section(spark, root):
 
 
 def q_tag_by_lookup(spark, root):
-    rows = parsed_rows(spark, root)
-    blk = auto_block(rows)
+    rows, blk = prepared(spark, root)
     return TG.tag_by_lookup(rows, reference_sheet(rows, blk=blk), TEST_ROW_RULES, block=blk,
                             ref_block=_ref_block(blk))
 
 
 def q_lookup_misses(spark, root):
-    rows = parsed_rows(spark, root)
-    blk = auto_block(rows)
+    rows, blk = prepared(spark, root)
     ref = reference_sheet(rows, drop_label=MISSING_FROM_REFERENCE, blk=blk)
     return TG.lookup_misses(rows, ref, TEST_ROW_RULES, block=blk, ref_block=_ref_block(blk))
 
 
 def q_tag_by_position(spark, root):
-    rows = parsed_rows(spark, root)
-    blk = auto_block(rows)
+    rows, blk = prepared(spark, root)
     return TG.tag_by_position(rows, position_map(rows, blk), TEST_ROW_RULES, block=blk)
 
 
@@ -242,8 +249,8 @@ def _ref_block(rows_block):
 
 
 def q_reference_key_duplicates(spark, root):
-    rows = parsed_rows(spark, root)
-    return TG.key_duplicates(reference_sheet(rows), block=_ref_block(auto_block(rows)))
+    rows, blk = prepared(spark, root)
+    return TG.key_duplicates(reference_sheet(rows, blk=blk), block=_ref_block(blk))
 
 
 QUERIES = {
