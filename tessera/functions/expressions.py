@@ -127,5 +127,7 @@ def clean_text(c: Column | str, abbreviations: Mapping[str, str] | None = None,
 
 
 def tokens(c: Column | str) -> Column:
-    """Lower-cased white-space tokens without empty strings."""
-    return F.filter(F.split(F.lower(_col(c)), TOKEN_SPLIT), lambda t: t != "")
+    """Lower-cased white-space tokens without empty strings. (No lambda: plans
+    that tokenise the same column then canonicalise equal, so a shuffle of the
+    token counts can be reused between branches.)"""
+    return F.array_remove(F.split(F.lower(_col(c)), TOKEN_SPLIT), "")

@@ -140,12 +140,13 @@ ORACLE.update({
       WITH t AS (SELECT doc_id, {_TOKENS_SQL.format(c='text')} AS term FROM documents),
       t2 AS (SELECT * FROM t WHERE term <> '' AND term NOT IN ({_STOP})),
       tf AS (SELECT doc_id, term, count(*) AS tf FROM t2 GROUP BY ALL),
-      df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+      df AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
       n AS (SELECT count(*) AS n FROM documents),
-      s AS (SELECT tf.doc_id, tf.term, tf.tf, df.df, tf.tf * ln((n.n + 1.0) / (df.df + 1.0)) AS v
+      s AS (SELECT tf.doc_id, tf.term, tf.tf, df.df, df.cf, tf.tf * ln((n.n + 1.0) / (df.df + 1.0)) AS v
             FROM tf JOIN df USING (term), n),
       r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, term) AS rank FROM s)
-      SELECT doc_id, term, tf, df, round(v, 6) AS tfidf, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
+      SELECT doc_id, term, tf, df, CAST(cf AS BIGINT) AS cf, round(v, 6) AS tfidf, CAST(rank AS INTEGER) AS rank
+      FROM r WHERE rank <= 5""",
     "class_vocabulary": f"""
       WITH tr AS ({TRAIN_SQL}),
       t AS (SELECT industry AS cls, {_TOKENS_SQL.format(c='description')} AS term FROM tr),
