@@ -1,0 +1,38 @@
+"""Invariants of the routing family on the sf0.001 tables."""
+from pyspark.sql import functions as F
+
+from tessera.functions import constants as K
+from tessera.plans import classify_queries as CQ
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_routes_partition_all_rows(spark):
+    s = CQ.scored_vectors(spark, SF)
+    n = s.count()
+    acc = s.filter(F.col("route") == "accept").count()
+    esc = s.filter(F.col("route") == "escalate").count()
+    assert acc + esc == n and acc > 0 and esc > 0
+    bad = s.filter((F.col("route") == "accept") & ((F.col("confidence") < K.ML_ACCEPT_CONFIDENCE)
+                                                    | (F.col("gap") < K.ML_ACCEPT_GAP) | F.col("ood")))
+    assert bad.count() == 0
+
+
+def test_unified_output_has_every_row_once(spark):
+    u = CQ.unified(spark, SF)
+    n = CQ.labelled_vectors(spark, SF).count()
+    assert u.count() == n and u.select("id").distinct().count() == n
+    assert {r[0] for r in u.select("classification_source").distinct().collect()} <= {
+        K.SOURCE_ML, K.SOURCE_FALLBACK, K.SOURCE_HUMAN}
+
+
+def test_pool_has_only_verified_rows_and_no_duplicates(spark):
+    p = CQ.pool(spark, SF)
+    assert p.filter(~F.col("verified")).count() == 0
+    assert p.count() == p.select("id").distinct().count()
+
+
+def test_weighted_recall_equals_accuracy(spark):
+    from tessera.operators import evaluate as EV
+    r = EV.overall_metrics(CQ.test_confusion(spark, SF)).first()
+    assert abs(r.weighted_recall - r.accuracy) < 1e-6
