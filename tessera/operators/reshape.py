@@ -53,3 +53,17 @@ def pivot_duplicates(tagged: DataFrame, with_row_num: bool = True, part: str = "
     h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]))
     return (long.groupBy(part, h.alias("dup_hash")).agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") > 1))
+
+
+def pivot_duplicates_sql(spark, tagged: DataFrame, view: str = "tagged_sheet",
+                         with_row_num: bool = True, part: str = "sheet_id") -> DataFrame:
+    """SC9: the same check as SQL over a temporary view (``stack`` unpivot,
+    ``md5(concat_ws)``, ``GROUP BY ... HAVING count(*) > 1``)."""
+    tagged.createOrReplaceTempView(view)
+    cols = (["row_num"] if with_row_num else []) + [K.LABEL_COL, "gig", "Year"] + DIMS[1:]
+    stack = ", ".join(f"'{y}', {y}" for y in YEARS)
+    return spark.sql(f"""
+        SELECT {part}, md5(concat_ws('|', {", ".join(f"CAST({c} AS STRING)" for c in cols)})) AS dup_hash,
+               count(*) AS n
+        FROM (SELECT *, stack({len(YEARS)}, {stack}) AS (Year, ADV) FROM {view}) pivoted
+        GROUP BY {part}, dup_hash HAVING count(*) > 1""")

@@ -49,6 +49,19 @@ def fallback_requests(escalated: DataFrame, classes: Sequence[str], id_col: str
 
 
 REPLY_SCHEMA = "label STRING, reasoning STRING, confidence DOUBLE"
+REPLY_TABLE_SCHEMA = "request_id BIGINT, reply STRING"
+
+
+def external_replies(requests: DataFrame, ask, schema: str = REPLY_TABLE_SCHEMA) -> DataFrame:
+    """Pluggable fallback labeller: ``ask(pandas.DataFrame) -> pandas.DataFrame``
+    maps a batch of (request_id, prompt) rows to (request_id, reply) rows, e.g.
+    by calling an external service. It runs per Arrow batch in the tasks
+    (``mapInPandas``), so requests are spread over the cluster and never
+    collected; a retried task re-asks only its own batch."""
+    def run(batches):
+        for pdf in batches:
+            yield ask(pdf)
+    return requests.select("request_id", "prompt").mapInPandas(run, schema)
 
 
 def parse_replies(replies: DataFrame, classes: Sequence[str],

@@ -253,7 +253,12 @@ def q_reference_key_duplicates(spark, root):
     return TG.key_duplicates(reference_sheet(rows, blk=blk), block=_ref_block(blk))
 
 
+def q_pivot_duplicates_sql(spark, root):
+    return RS.pivot_duplicates_sql(spark, tagged_by_section(spark, root), with_row_num=False)
+
+
 QUERIES = {
+    "pivot_duplicates_sql": q_pivot_duplicates_sql,
     "reference_key_duplicates": q_reference_key_duplicates,
     "header_positions": q_header_positions,
     "parse_cells": q_parse_cells,
@@ -499,4 +504,5 @@ ORACLE = {
     "unpivot_years": _UNPIVOT_SQL,
     "pivot_duplicates": _dup_sql(_DUP_COLS_ROWNUM),
     "pivot_duplicates_no_rownum": _dup_sql(_DUP_COLS_NO),
+    "pivot_duplicates_sql": _dup_sql(_DUP_COLS_NO),
 }

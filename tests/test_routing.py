@@ -36,3 +36,19 @@ def test_weighted_recall_equals_accuracy(spark):
     from tessera.operators import evaluate as EV
     r = EV.overall_metrics(CQ.test_confusion(spark, SF)).first()
     assert abs(r.weighted_recall - r.accuracy) < 1e-6
+
+
+def test_external_replies_hook_matches_table_replies(spark):
+    import pandas as pd
+    from tessera.operators import routing as RT
+    s = CQ.scored_vectors(spark, SF)
+    req = CQ._requests(s.filter(F.col("route") == "escalate"))
+    table_replies = CQ.replies(s)
+    lookup = {r.request_id: r.reply for r in table_replies.collect()}
+
+    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"request_id": pdf["request_id"],
+                             "reply": [lookup[i] for i in pdf["request_id"]]})
+    got = RT.parse_replies(RT.external_replies(req, ask), CQ.CLASSES)
+    want = RT.parse_replies(table_replies, CQ.CLASSES)
+    assert sorted(got.collect()) == sorted(want.collect())
