@@ -389,24 +389,27 @@ _CONF = """,
   cf AS (SELECT industry AS actual, pred AS predicted, count(*) AS n FROM sc WHERE split = 'test' GROUP BY ALL)"""
 
 
-def _metrics_sql(conf_cte: str = "cf") -> str:
+def _metrics_sql(conf_cte: str = "cf", sfx: str = "") -> str:
+    """CTEs sup, prd, tp, pc, pr, m, ov (each name suffixed with ``sfx``):
+    per-class and support-weighted metrics from the confusion counts."""
+    n = {k: k + sfx for k in ("sup", "prd", "tp", "pc", "pr", "m", "ov")}
     return f""",
-  sup AS (SELECT actual AS cls, sum(n) AS support FROM {conf_cte} GROUP BY 1),
-  prd AS (SELECT predicted AS cls, sum(n) AS npred FROM {conf_cte} GROUP BY 1),
-  tp AS (SELECT actual AS cls, n AS tp FROM {conf_cte} WHERE actual = predicted),
-  pc AS (SELECT coalesce(sup.cls, prd.cls) AS cls, coalesce(tp.tp, 0) AS tp,
-                coalesce(sup.support, 0) AS support, coalesce(prd.npred, 0) AS npred
-         FROM sup FULL OUTER JOIN prd ON sup.cls = prd.cls
-         LEFT JOIN tp ON tp.cls = coalesce(sup.cls, prd.cls)),
-  pr AS (SELECT cls, tp, support,
+  {n['sup']} AS (SELECT actual AS cls, sum(n) AS support FROM {conf_cte} GROUP BY 1),
+  {n['prd']} AS (SELECT predicted AS cls, sum(n) AS npred FROM {conf_cte} GROUP BY 1),
+  {n['tp']} AS (SELECT actual AS cls, n AS tp FROM {conf_cte} WHERE actual = predicted),
+  {n['pc']} AS (SELECT coalesce(s.cls, p.cls) AS cls, coalesce(t.tp, 0) AS tp,
+                coalesce(s.support, 0) AS support, coalesce(p.npred, 0) AS npred
+         FROM {n['sup']} s FULL OUTER JOIN {n['prd']} p ON s.cls = p.cls
+         LEFT JOIN {n['tp']} t ON t.cls = coalesce(s.cls, p.cls)),
+  {n['pr']} AS (SELECT cls, tp, support,
                 CASE WHEN npred > 0 THEN tp * 1.0 / npred ELSE 0.0 END AS precision,
-                CASE WHEN support > 0 THEN tp * 1.0 / support ELSE 0.0 END AS recall FROM pc),
-  m AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
-                       ELSE 0.0 END AS f1 FROM pr),
-  ov AS (SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(tp) * 1.0 / sum(support), 6) AS accuracy,
+                CASE WHEN support > 0 THEN tp * 1.0 / support ELSE 0.0 END AS recall FROM {n['pc']}),
+  {n['m']} AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                       ELSE 0.0 END AS f1 FROM {n['pr']}),
+  {n['ov']} AS (SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(tp) * 1.0 / sum(support), 6) AS accuracy,
                 round(sum(support * precision) / sum(support), 6) AS weighted_precision,
                 round(sum(support * recall) / sum(support), 6) AS weighted_recall,
-                round(sum(support * f1) / sum(support), 6) AS f1 FROM m)"""
+                round(sum(support * f1) / sum(support), 6) AS f1 FROM {n['m']})"""
 
 
 _REQ = """,
@@ -455,13 +458,7 @@ _CHALLENGER = _BASE + _scored_sql() + _REQ + _CONF + _metrics_sql() + """,
          FROM ex JOIN cen2 ON ex.pos = cen2.pos GROUP BY ALL),
   dm2 AS (SELECT id, arg_min(k, d2) AS pred FROM d2 GROUP BY id),
   cf2 AS (SELECT emb.industry AS actual, dm2.pred AS predicted, count(*) AS n
-          FROM emb JOIN dm2 USING (id) WHERE emb.split = 'test' GROUP BY ALL)""" + \
-    _metrics_sql("cf2").replace("sup AS", "sup2 AS").replace(" sup.", " sup2.").replace("(sup.", "(sup2.") \
-    .replace("FROM sup ", "FROM sup2 ").replace("prd AS", "prd2 AS").replace("prd.", "prd2.") \
-    .replace("JOIN prd ", "JOIN prd2 ").replace("tp AS (", "tp2 AS (").replace("JOIN tp ", "JOIN tp2 ") \
-    .replace("tp.tp", "tp2.tp").replace("tp.cls", "tp2.cls").replace("pc AS", "pc2 AS") \
-    .replace("FROM pc)", "FROM pc2)").replace("pr AS", "pr2 AS").replace("FROM pr)", "FROM pr2)") \
-    .replace("m AS (", "m2 AS (").replace("FROM m)", "FROM m2)").replace("ov AS", "ov2 AS")
+          FROM emb JOIN dm2 USING (id) WHERE emb.split = 'test' GROUP BY ALL)""" + _metrics_sql("cf2", "2")
 
 ORACLE.update({
     "route_predictions": _SCORED + """

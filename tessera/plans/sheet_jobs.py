@@ -25,7 +25,9 @@ def sheet_rows(spark: SparkSession, path: str, block_rows: int = BLOCK_ROWS):
     """Raw CSV sheet(s) -> typed rows and their scan layout (SC1, SC2, PF1, PF6).
     A sheet larger than ``block_rows`` is scanned split by split."""
     tune_for_wide_plans(spark)
-    return prepare(read_sheet_csv(spark, path), block_rows=block_rows, block=F.col("block"))
+    # the header is the first line of a file, which lies in its first split
+    return prepare(read_sheet_csv(spark, path), block_rows=block_rows, block=F.col("block"),
+                   header_candidates=F.col("block") == 0)
 
 
 def _finish(spark, df, target, write_mode, write_to_table, fmt):
