@@ -22,6 +22,7 @@ HEADLINE = [
     # labelled-sheet family
     "header_positions", "parse_cells", "emitted_rows", "tag_by_section", "tag_by_lookup",
     "tag_by_position", "pivot_duplicates", "unpivot_years", "section_carry_forward",
+    "single_sheet_walk",
     # classification family
     "training_dataset", "class_distribution", "clean_descriptions", "tfidf_terms",
     "class_vocabulary", "cascade_assign", "route_predictions", "overall_metrics",
