@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import normalize_description
-from tessera.operators.tagging import bounded_broadcast
+from tessera.operators.sizing import bounded_broadcast
 
 SOURCE_CODE = "hs_map"
 SOURCE_DESC = "description_map"

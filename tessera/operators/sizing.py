@@ -1,0 +1,16 @@
+"""Size-checked broadcast: the only way tessera hints a broadcast join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_TABLE_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_TABLE_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
+    (a limit-bounded count, so a large input stops early); beyond that the
+    join is left to the planner and AQE, i.e. a shuffle join."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -286,8 +286,8 @@ def parsed_replies(scored: DataFrame) -> DataFrame:
 
 def unified(spark, root) -> DataFrame:
     s = scored_vectors(spark, root)
-    ml = s.filter(F.col("route") == RT.ROUTE_ACCEPT).select("id", F.col("pred").alias("label"),
-                                                            "confidence")
+    ml = s.filter(F.col("route") == RT.ROUTE_ACCEPT).select(
+        "id", F.col("pred").alias("label"), F.round("confidence", 6).alias("confidence"))
     pr = parsed_replies(s)
     llm = pr.filter(F.col("route") == K.SOURCE_FALLBACK).select(
         F.col("request_id").alias("id"), "label", "confidence")
@@ -434,7 +434,7 @@ _REQ = """,
                     CASE WHEN jl IN (""" + _sql_list(CLASSES) + f""") AND confidence >= {K.FALLBACK_ACCEPT_CONFIDENCE}
                          THEN 'llm' ELSE 'human' END AS route
              FROM pj),
-  uni AS (SELECT id, pred AS industry_label, confidence, 'ml_accepted' AS classification_source FROM rt WHERE route = 'accept'
+  uni AS (SELECT id, pred AS industry_label, round(confidence, 6) AS confidence, 'ml_accepted' AS classification_source FROM rt WHERE route = 'accept'
           UNION ALL SELECT request_id, label, confidence, 'llm' FROM parsed WHERE route = 'llm'
           UNION ALL SELECT p.request_id, r.industry, 1.0, 'human' FROM parsed p JOIN rt r ON r.id = p.request_id
                     WHERE p.route = 'human'),
