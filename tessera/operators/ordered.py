@@ -130,7 +130,3 @@ def ordered_scan(df: DataFrame, part: list[str], order: list[str], scans: list[S
             outs.append(F.greatest(inner, cin).alias(s.out))
     keep = [c for c in df.columns if c not in tmp and c != _BLK]
     return joined.select(*keep, *outs, F.col(_BLK))
-
-
-def drop_block(df: DataFrame) -> DataFrame:
-    return df.drop(_BLK) if _BLK in df.columns else df

@@ -100,7 +100,8 @@ def feedback_pool(existing: DataFrame, reviews: DataFrame) -> DataFrame:
     """PF20 + SC13: append human-verified labels not already in the pool.
     Unverified rows (e.g. raw fallback labels) never enter. Both inputs are
     (id, label, verified); the anti join shuffles on id only."""
-    new = reviews.filter(F.col("verified")).join(existing.select("id"), "id", "left_anti")
+    from tessera.sources.sinks import append_new
+    new = append_new(existing, reviews.filter(F.col("verified")), "id")
     return (existing.select("id", "label", "verified", F.lit(False).alias("is_new"))
             .unionByName(new.select("id", "label", "verified", F.lit(True).alias("is_new"))))
 

@@ -47,9 +47,3 @@ def read_reference_csv(spark: SparkSession, path: str) -> DataFrame:
         F.struct(F.col("_metadata.file_block_start").alias("block"),
                  row_in_split.alias("row_in_split")).alias("ref_seq"),
         *sel)
-
-
-def rules_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small rule table (fixed rules, section contexts, maps) from literal rows.
-    Rule tables are configuration: their size is known on the driver."""
-    return spark.createDataFrame(rows, schema)

@@ -18,9 +18,3 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     if "." in name and "/" not in name:
         return spark.table(name)
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, root: str, names: list[str] | None = None) -> None:
-    """Expose tables as temporary views so SQL text can use them by name."""
-    for n in names or TABLES:
-        table(spark, root, n).createOrReplaceTempView(n)

@@ -4,7 +4,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import constants as K
 from tessera.operators.ordered import LAST, MAX, NEXT, SUM, Scan, block_of, ordered_scan
 from tessera.operators.sheet import RowRules, walk_rows
 
