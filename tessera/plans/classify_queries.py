@@ -548,8 +548,7 @@ def lr_model(spark, root, counts: bool = False, classifier: str = "lr"):
     key = (id(spark), root, counts, classifier)
     if key not in _LR_CACHE:
         train = split_training(spark, root).filter(F.col("split") == "train")
-        pipe = ML.text_pipeline(counts=counts, classifier=classifier,
-                                num_features=1 << 14 if classifier != "lr" else 1 << 16)
+        pipe = ML.text_pipeline(counts=counts, classifier=classifier)
         _LR_CACHE[key] = ML.fit(train, pipe)
     return _LR_CACHE[key]
 
