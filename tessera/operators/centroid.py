@@ -48,8 +48,8 @@ class CentroidModel:
         s2 = s1.select("*", F.sort_array(d2).alias("_sd"),
                        F.array_position(d2, F.array_min(d2)).cast("int").alias("_i1"))
         sd = F.col("_sd")
-        d1 = F.element_at(sd, 1)
-        d2nd = F.element_at(sd, 2)
+        d1 = F.try_element_at(sd, F.lit(1))
+        d2nd = F.try_element_at(sd, F.lit(2))
         s3 = s2.select("*", F.aggregate(d2, F.lit(0.0), lambda acc, d: acc + F.exp(-(d - d1) / tau))
                        .alias("_se"), d1.alias("d2_min"), d2nd.alias("_d2nd"))
         se = F.col("_se")
@@ -62,7 +62,7 @@ class CentroidModel:
                           (F.lit(1.0) / se).alias("confidence"),
                           ((F.lit(1.0) - e2) / se).alias("gap"),
                           (F.col("d2_min") > F.lit(self.ood_threshold)).alias("ood"),
-                          F.element_at(classes, i2).alias("top2"))
+                          F.try_element_at(classes, i2).alias("top2"))
                   .drop("_d2", "_sd", "_i1", "_se", "_d2nd"))
 
 
@@ -77,7 +77,7 @@ def fit_centroids(train: DataFrame, label_col: str = "label", vec_col: str = "em
     classes = [r[label_col] for r in rows]
     cents = [[float(s["c"]) for s in r["cs"]] for r in rows]
     model = CentroidModel(classes, cents, 0.0, tau)
-    own = F.element_at(model.distances(F.col(vec_col)),
+    own = F.try_element_at(model.distances(F.col(vec_col)),
                        F.array_position(F.lit(classes), F.col(label_col)).cast("int"))
     thr = train.select(F.max(own).alias("t")).collect()[0]["t"]
     model.ood_threshold = float(thr)

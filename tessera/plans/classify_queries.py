@@ -195,7 +195,7 @@ def labelled_vectors(spark, root) -> DataFrame:
     e = table(spark, root, "embeddings")
     return e.select(
         F.col("vec_id").alias("id"),
-        F.element_at(F.lit(K.INDUSTRIES), (F.col("label") + 1).cast("int")).alias("industry"),
+        F.try_element_at(F.lit(K.INDUSTRIES), (F.col("label") + 1).cast("int")).alias("industry"),
         F.when(split_bucket(F.col("vec_id").cast("string"), SEED) < 80, F.lit("train"))
          .otherwise(F.lit("test")).alias("split"),
         "embedding")
@@ -603,7 +603,7 @@ def q_stream_routing(spark, root):
     def score(batch):
         v = batch.select(
             F.col("vec_id").alias("id"),
-            F.element_at(F.lit(K.INDUSTRIES), (F.col("label") + 1).cast("int")).alias("industry"),
+            F.try_element_at(F.lit(K.INDUSTRIES), (F.col("label") + 1).cast("int")).alias("industry"),
             "embedding")
         s = RT.route(model.score(v))
         return s.select("id", "industry", "pred", F.round("confidence", 6).alias("confidence"),
