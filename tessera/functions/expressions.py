@@ -49,7 +49,8 @@ def to_double(c: Column | str, null_tokens: Sequence[str] = K.NULL_CELL_TOKENS)
     Python-float parse; anything unparseable -> null. A percent is not divided."""
     s = py_strip(_col(c))
     cleaned = py_strip(F.regexp_replace(s, K.NUMBER_STRIP_PATTERN, ""))
-    parsed = F.regexp_replace(cleaned, "_", "").try_cast("double")
+    # Spark's cast takes no sign before "nan" (Python does; the value is NaN either way)
+    parsed = F.regexp_replace(F.regexp_replace(cleaned, "_", ""), r"(?i)^[+-](nan)$", "$1").try_cast("double")
     return (F.when(_col(c).isNull() | s.isin(list(null_tokens)), F.lit(None).cast("double"))
              .when(cleaned.rlike(FLOAT_GRAMMAR), parsed)
              .otherwise(F.lit(None).cast("double")))
