@@ -67,8 +67,11 @@ def header_positions(raw: DataFrame, part: str = "sheet_id", order: str = "seq",
     optionally restricts the rows that can hold the header (e.g. the first
     split of each file), so the aggregate sees only those."""
     src = raw if candidates is None else raw.filter(candidates)
-    hdr = src.groupBy(part).agg(F.min_by("cells", order).alias("hcells"),
-                                F.min(order).alias("header_seq"))
+    # min(seq) is a hash aggregate; fetching the header row's cells by an
+    # equi-join on (sheet, seq) avoids a sort-based min_by over every row
+    first = src.groupBy(part).agg(F.min(order).alias("header_seq"))
+    hdr = (src.select(part, F.col(order).alias("header_seq"), F.col("cells").alias("hcells"))
+              .join(first, [part, "header_seq"], "left_semi"))
     cells = hdr.select(part, "header_seq", F.posexplode("hcells").alias("pos", "text"))
     years = cells.select(part, "header_seq", "pos", header_year("text", lo, hi).alias("yr"))
     return (years.filter(F.col("yr").isNotNull())
