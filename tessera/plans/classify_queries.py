@@ -11,8 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import constants as K
+from tessera.functions.expressions import clean_text
+from tessera.operators import cascade as CA
+from tessera.operators import centroid as CE
+from tessera.operators import evaluate as EV
+from tessera.operators import routing as RT
+from tessera.operators import text_features as TF
 from tessera.operators import training as TR
+from tessera.operators.training import split_bucket
+from tessera.plans import ml as ML
 from tessera.sources.tables import table
+from tessera.streaming import incremental as INC
 
 SEED = 42
 
@@ -93,10 +103,6 @@ ORACLE = {
 # description cleaning and term statistics
 # ===========================================================================
 
-from tessera.functions import constants as K  # noqa: E402
-from tessera.functions.expressions import clean_text  # noqa: E402
-from tessera.operators import text_features as TF  # noqa: E402
-
 
 def q_clean_descriptions(spark, root):
     d = table(spark, root, "documents")
@@ -176,10 +182,6 @@ QUERIES.update({
 # fallback, unified output, feedback and retraining
 # ===========================================================================
 
-from tessera.operators import centroid as CE  # noqa: E402
-from tessera.operators import evaluate as EV  # noqa: E402
-from tessera.operators import routing as RT  # noqa: E402
-from tessera.operators.training import split_bucket  # noqa: E402
 
 TAU = 0.01
 N_CLASSES = 10
@@ -490,7 +492,6 @@ ORACLE.update({
 # mapping cascade
 # ===========================================================================
 
-from tessera.operators import cascade as CA  # noqa: E402
 
 CODE_MAP = [("Brand#1", "Industrial"), ("Brand#2", "Healthcare"), ("Brand#3", "Aerospace"),
             ("Brand#4", "Services"), ("Brand#5", "Technology")]
@@ -532,8 +533,6 @@ QUERIES["cascade_assign"] = q_cascade_assign
 # Spark ML text pipeline (rows-only checks: fitted coefficients have no SQL form)
 # ===========================================================================
 
-from tessera.plans import ml as ML  # noqa: E402
-from tessera.streaming import incremental as INC  # noqa: E402
 
 _LR_CACHE: dict = {}
 PRECISION_FIRST_MIN_CONF = 0.5
