@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tessera.functions import constants as K
 from tessera.functions.expressions import header_year, label_of, to_double, year_name
 from tessera.operators.ordered import LAST, MAX, NEXT, SUM, Scan, block_of, ordered_scan
+from tessera.operators.sizing import SMALL_TABLE_MAX_ROWS
 from tessera.session import materialize
 
 
@@ -67,11 +68,17 @@ def header_positions(raw: DataFrame, part: str = "sheet_id", order: str = "seq",
     optionally restricts the rows that can hold the header (e.g. the first
     split of each file), so the aggregate sees only those."""
     src = raw if candidates is None else raw.filter(candidates)
-    # min(seq) is a hash aggregate; fetching the header row's cells by an
-    # equi-join on (sheet, seq) avoids a sort-based min_by over every row
+    # min(seq) per sheet is a hash aggregate over two narrow columns. While the
+    # sheets are few enough to broadcast, the header rows are picked by a
+    # broadcast semi-join (no sort, no shuffle of the cells); with more sheets
+    # a sort-based min_by keeps the cells local instead of shuffling them.
     first = src.groupBy(part).agg(F.min(order).alias("header_seq"))
-    hdr = (src.select(part, F.col(order).alias("header_seq"), F.col("cells").alias("hcells"))
-              .join(first, [part, "header_seq"], "left_semi"))
+    if first.limit(SMALL_TABLE_MAX_ROWS + 1).count() <= SMALL_TABLE_MAX_ROWS:
+        hdr = (src.select(part, F.col(order).alias("header_seq"), F.col("cells").alias("hcells"))
+                  .join(F.broadcast(first), [part, "header_seq"], "left_semi"))
+    else:
+        hdr = src.groupBy(part).agg(F.min_by("cells", order).alias("hcells"),
+                                    F.min(order).alias("header_seq"))
     cells = hdr.select(part, "header_seq", F.posexplode("hcells").alias("pos", "text"))
     years = cells.select(part, "header_seq", "pos", header_year("text", lo, hi).alias("yr"))
     return (years.filter(F.col("yr").isNotNull())
