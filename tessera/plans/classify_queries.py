@@ -327,7 +327,11 @@ def q_fallback_parse(spark, root):
 
 
 def q_unified_output(spark, root):
-    return unified(spark, root)
+    # The library column is a TIMESTAMP; for the cross-engine check it is
+    # rendered as ISO text, since Spark and DuckDB hand pandas different time
+    # units (ns vs us) for the same instant.
+    u = unified(spark, root)
+    return u.withColumn("classified_at", F.date_format("classified_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def q_feedback_pool(spark, root):
@@ -481,7 +485,8 @@ ORACLE.update({
     "overall_metrics": _SCORED + _CONF + _metrics_sql() + " SELECT * FROM ov",
     "fallback_requests": _SCORED + _REQ + " SELECT request_id, prompt FROM req",
     "fallback_parse": _SCORED + _REQ + " SELECT request_id, label, reasoning, confidence, route FROM parsed",
-    "unified_output": _SCORED + _REQ + " SELECT * FROM uo",
+    "unified_output": _SCORED + _REQ + """ SELECT id, industry_label, confidence, classification_source, version,
+        strftime(classified_at, '%Y-%m-%d %H:%M:%S') AS classified_at FROM uo""",
     "feedback_pool": _SCORED + _REQ + " SELECT * FROM fp",
     "retrain_decision": _CHALLENGER + f"""
       SELECT CAST((SELECT count(*) FROM newv) AS BIGINT) AS n_new_labels,

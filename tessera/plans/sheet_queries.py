@@ -223,11 +223,13 @@ def q_tag_by_position(spark, root):
 
 def q_section_carry_forward(spark, root):
     tune_for_wide_plans(spark)
-    conv = table(spark, root, "conversations").select("conv_id", "turn", "role")
-    out = ordered_scan(conv, ["conv_id"], ["turn"], [
-        Scan("last_user_turn", LAST, F.when(F.col("role") == "user", F.col("turn")), False)],
-        auto_block(conv, "conv_id", "turn"))
-    return out.select("conv_id", "turn", "role", "last_user_turn")
+    # the carried context is the (hash of the whole) last earlier user message,
+    # read before the row updates it -- the same shape as a section context
+    conv = table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    ctx = F.when(F.col("role") == "user", F.md5(F.col("text")))
+    out = ordered_scan(conv, ["conv_id"], ["turn"], [Scan("last_user_md5", LAST, ctx, False)],
+                       auto_block(conv, "conv_id", "turn"))
+    return out.select("conv_id", "turn", "role", "last_user_md5")
 
 
 def q_unpivot_years(spark, root):
@@ -519,9 +521,9 @@ ORACLE = {
          FROM refn GROUP BY ALL HAVING count(*) > 1""",
     "section_carry_forward": """
       SELECT conv_id, turn, role,
-             last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS)
+             last_value(CASE WHEN role = 'user' THEN md5(text) END IGNORE NULLS)
                OVER (PARTITION BY conv_id ORDER BY turn
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_user_turn
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_user_md5
       FROM conversations""",
     "unpivot_years": _UNPIVOT_SQL,
     "pivot_duplicates": _dup_sql(_DUP_COLS_ROWNUM),
