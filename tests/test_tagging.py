@@ -89,3 +89,39 @@ def test_position_map(spark):
         ("A", "x", True), ("B", "y", False), ("C", None, False)]
     with pytest.raises(Exception):
         TG.tag_by_position(rows, pm, RowRules(), strict=True).collect()
+
+
+def _long_form_duplicates(tagged, with_row_num):
+    """The check written directly: unpivot, hash, count > 1."""
+    from tessera.operators.reshape import unpivot_years
+    ids = ["sheet_id", "row_num", K.LABEL_COL] + DIMS
+    long = unpivot_years(tagged.select(*ids, *K.YEAR_COLS), ids)
+    cols = (["row_num"] if with_row_num else []) + [K.LABEL_COL, "gig", "Year"] + DIMS[1:]
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]))
+    return long.groupBy("sheet_id", h.alias("dup_hash")).count().filter("count > 1") \
+               .withColumnRenamed("count", "n")
+
+
+def test_pivot_duplicates_equals_long_form(spark):
+    from tessera.operators.reshape import pivot_duplicates
+    base = {d: None for d in DIMS}
+    rows = [
+        dict(base, row_num=1, ADV_millions="a", gig="CY16", amazon_code="x"),    # a|CY16|CY17|x (year CY17)
+        dict(base, row_num=2, ADV_millions="a", gig=None, amazon_code="CY17|x"),  # a|CY16|CY17|x (year CY16)
+        dict(base, row_num=3, ADV_millions="b", gig="g", Product="p"),
+        dict(base, row_num=4, ADV_millions="b", gig="g", Product="p"),
+        dict(base, row_num=5, ADV_millions="", gig="", Zone_cd=None),
+        dict(base, row_num=6, ADV_millions="", gig="", Zone_cd=None),
+        dict(base, row_num=7, ADV_millions="c|d", gig=None, ec_code="e"),
+        dict(base, row_num=8, ADV_millions="c", gig="d", ec_code="e"),
+    ]
+    data = [(1, r["row_num"], r["ADV_millions"], *[r[d] for d in DIMS], *[1.0] * 17) for r in rows]
+    schema = ("sheet_id long, row_num int, ADV_millions string, "
+              + ", ".join(f"{d} string" for d in DIMS) + ", " + ", ".join(f"{y} double" for y in K.YEAR_COLS))
+    tagged = spark.createDataFrame(data, schema)
+    for with_rn in (True, False):
+        got = sorted(tuple(r) for r in pivot_duplicates(tagged, with_row_num=with_rn).collect())
+        want = sorted(tuple(r) for r in _long_form_duplicates(tagged, with_rn).select(
+            "sheet_id", "dup_hash", "n").collect())
+        assert got == want
+    assert len(sorted(pivot_duplicates(tagged, with_row_num=False).collect())) > 17
