@@ -96,3 +96,27 @@ def test_fixture_blocked_equals_unblocked(spark):
     ta = TG.tag_by_section(rows_a, S.TEST_ROW_RULES, S.section_rules(spark), block=blk_a).collect()
     tb = TG.tag_by_section(rows_b, S.TEST_ROW_RULES, S.section_rules(spark), block=blk_b).collect()
     assert sorted(ta) == sorted(tb)
+
+
+def test_folder_of_sheets_each_walked_separately(spark):
+    """Each file is its own sheet: its own header layout and row numbers."""
+    d = tempfile.mkdtemp(prefix="tessera-multi-")
+    years = [f"CY{y}" for y in range(16, 33)]
+    _write_csv(os.path.join(d, "a.csv"), [",".join(["L"] + years),
+                                          "Express," + ",".join(str(i) for i in range(17)),
+                                          "Ground,5"])
+    # second sheet: year columns in reverse order and an extra text column
+    _write_csv(os.path.join(d, "b.csv"), [",".join(["L", "note"] + years[::-1]),
+                                          "Core Ground,x," + ",".join(str(i) for i in range(17))])
+    rules = TG.SectionRules(fixed=spark.createDataFrame([], RULE_SCHEMA),
+                            context=spark.createDataFrame([], RULE_SCHEMA))
+    out = SJ.normalize_by_section(spark, d, rules).collect()
+    by_sheet = {}
+    for r in out:
+        by_sheet.setdefault(os.path.basename(r.sheet_id), []).append(r)
+    a = sorted(by_sheet["a.csv"], key=lambda r: r.row_num)
+    b = by_sheet["b.csv"]
+    assert [(r.row_num, r.ADV_millions) for r in a] == [(1, "Express"), (2, "Ground")]
+    assert (a[0].CY16, a[0].CY32, a[1].CY16, a[1].CY17) == (0.0, 16.0, 5.0, None)
+    assert [(r.row_num, r.ADV_millions) for r in b] == [(1, "Core Ground")]
+    assert (b[0].CY32, b[0].CY16) == (0.0, 16.0)
