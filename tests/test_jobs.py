@@ -153,3 +153,24 @@ def test_lookup_job_from_csv_reference(spark):
     # none, in the sheet it is followed by "Ground", so nothing matches
     loose = SJ.normalize_by_lookup(spark, sheet, bad, strict=False).orderBy("row_num").collect()
     assert [r.gig for r in loose] == [None, None, None]
+
+
+def test_position_job_from_csv(spark):
+    """CJ2 end to end: the n-th emitted row takes the n-th map entry."""
+    import pytest
+    d = tempfile.mkdtemp(prefix="tessera-pos-")
+    years = [f"CY{y}" for y in range(16, 33)]
+    sheet = os.path.join(d, "sheet.csv")
+    _write_csv(sheet, [",".join(["L"] + years), "Express,1", "ADV (millions),", "Ground,2",
+                       "Addressable Mix,", "SAM,3", "Core Ground,4"])
+    sid = SJ.sheet_rows(spark, sheet)[0].select("sheet_id").first()[0]
+    pm = spark.createDataFrame(
+        [(sid, 1, "Express", "a"), (sid, 2, "Ground", "b"), (sid, 3, "Core Ground", "c")],
+        "sheet_id string, row_num int, label string, gig string")
+    for dim in K.DIM_COLS[1:]:
+        pm = pm.withColumn(dim, F.lit(None).cast("string"))
+    out = SJ.normalize_by_position(spark, sheet, pm).orderBy("row_num").collect()
+    assert [(r.ADV_millions, r.gig, r.label_matches, r.CY16) for r in out] == [
+        ("Express", "a", True, 1.0), ("Ground", "b", True, 2.0), ("Core Ground", "c", True, 4.0)]
+    with pytest.raises(Exception):
+        SJ.normalize_by_position(spark, sheet, pm.filter("row_num < 3")).collect()
