@@ -1,0 +1,185 @@
+"""License scans with a positional index of rare words.
+
+The template notices are indexed once: word -> (template, position). A file looks up the
+rarest of a template's words that it has (highest inverse document frequency over all scanned
+files), lays each posting over the place of the word in the file, and counts the words that
+agree on where a template begins. A placement with enough of them is compared word by word,
+and the template's mandatory key phrases must stand where the placement puts them.
+
+Base labels come from the phrases' exact places, which the same word positions give; labels of
+templates are added to them. The score is the largest share of a template's words found at
+their places (1 for a base phrase, 0 for no label).
+
+Defined results: a null or empty text has no words and no labels; repeated rows get the same
+result; columns other than doc_id and text play no part; no rows give no rows.
+"""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.llm.common import record_batch, slices, texts
+
+#: Base phrases and their labels.
+PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+
+#: Label, notice, mandatory key phrases (publicly known licence notices).
+TEMPLATES = (
+    ("mit", "released under the mit license", ("mit license",)),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction", ("hereby granted free of charge",)),
+    ("apache", "licensed under the apache license version 2 0", ("apache license",)),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+               "with the license", ("apache license version 2 0", "except in compliance")),
+    ("gpl", "this work is licensed under the gnu general public license version 3", ("gnu general public license",)),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+            "public license as published by the free software foundation", ("general public license", "free software foundation")),
+    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation",
+     ("lesser general public license",)),
+    ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
+    ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
+    ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
+            "the following conditions are met", ("source and binary forms", "conditions are met")),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+            "granted", ("for any purpose with or without fee",)),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
+)
+
+#: Rarest words that are looked up for each template a file may hold; words that must agree on a
+#: placement; share of a template's words that must stand at their places.
+LOOKUPS, AGREE, SHARE = 4, 2, 0.8
+
+_WORD = bytearray(b" " * 256)
+for _b in (*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)):
+    _WORD[_b] = _b
+_WORD = bytes(_WORD)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z in lower case."""
+    return text.lower().translate(_WORD).split()
+
+
+class Index:
+    def __init__(self, templates=TEMPLATES, phrases=PHRASES, frequency: dict[bytes, int] | None = None, files: int = 0):
+        self.labels = [t[0] for t in templates]
+        self.words = [t[1].encode().split() for t in templates]
+        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for t, own in enumerate(self.words):
+            for p, w in enumerate(own):
+                self.postings[w].append((t, p))
+        self.mandatory = [[(self._place(own, key.encode().split()), key.encode().split()) for key in t[2]]
+                          for own, t in zip(self.words, templates)]
+        self.phrases = [(p.encode().split(), label) for p, label in phrases]
+        frequency = frequency or {}
+        # rarest first; ties in byte order
+        self.idf = {w: float(np.log((1 + files) / (1 + frequency.get(w, 0)))) for w in self.postings}
+        self.by_rarity = [sorted(set(own), key=lambda w: (-self.idf[w], w)) for own in self.words]
+        self.vocabulary = frozenset(self.postings)
+        self.anchors = [(p[-1], p, label) for p, label in self.phrases]
+
+    @staticmethod
+    def _place(words: list[bytes], phrase: list[bytes]) -> int:
+        return next(i for i in range(len(words)) if words[i:i + len(phrase)] == phrase)
+
+    def base(self, words: list[bytes]) -> list[tuple[int, str]]:
+        """(start, label) of every place of a base phrase."""
+        out = []
+        for last, phrase, label in self.anchors:
+            n, at = len(phrase), -1
+            while True:
+                try:
+                    at = words.index(last, at + 1)
+                except ValueError:
+                    break
+                if at + 1 >= n and words[at + 1 - n:at + 1] == phrase:
+                    out.append((at + 1 - n, label))
+        return sorted(out)
+
+    def templates(self, words: list[bytes], present: set[bytes]) -> dict[str, float]:
+        """Labels of the placed and verified templates, with the share of their words found."""
+        rare: set[bytes] = set()
+        for own, order in zip(self.words, self.by_rarity):
+            # without so many of its words, a template cannot reach its share anywhere
+            if sum(w in present for w in own) >= SHARE * len(own):
+                rare.update([w for w in order if w in present][:LOOKUPS])
+        places: dict[bytes, list[int]] = {w: [] for w in rare}
+        for w in rare:
+            at = -1
+            while True:
+                try:
+                    at = words.index(w, at + 1)
+                except ValueError:
+                    break
+                places[w].append(at)
+        votes: Counter[tuple[int, int]] = Counter()
+        for w in rare:
+            for t, p in self.postings[w]:
+                for at in places[w]:
+                    votes[t, at - p] += 1
+        found: dict[str, float] = {}
+        for (t, start), n in votes.items():
+            own = self.words[t]
+            if n < min(AGREE, len(own)) or found.get(self.labels[t], 0) == 1:
+                continue
+            hits = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(own))
+            share = hits / len(own)
+            if share >= SHARE and all(start + p >= 0 and words[start + p:start + p + len(key)] == key
+                                      for p, key in self.mandatory[t]):
+                found[self.labels[t]] = max(found.get(self.labels[t], 0), share)
+        return found
+
+    def __call__(self, text: bytes) -> tuple:
+        words = words_of(text)
+        present = self.vocabulary.intersection(words)
+        if not present:
+            return len(words), 0, None, None, "", "", 0.0
+        base = self.base(words)
+        more = self.templates(words, present) if len(present) >= AGREE else {}
+        labels = sorted({label for _, label in base})
+        score = max([*more.values(), float(bool(base))])
+        return (len(words), len(base), base[0][0] if base else None, base[-1][0] if base else None,
+                ",".join(labels), ",".join(sorted({*labels, *more})), score)
+
+
+def frequencies(docs: DataFrame, templates=TEMPLATES) -> tuple[dict[bytes, int], int]:
+    """Files that have each licence word, and files in all (the licence words are a fixed list)."""
+    vocabulary = Index(templates).vocabulary
+    out = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def run(batches):
+        for b in slices(batches):
+            seen: Counter[bytes] = Counter()
+            for text in texts(b.column("text")):
+                seen.update(vocabulary.intersection(words_of(text)))
+            yield record_batch(out, [*(w.decode() for w in seen), ""], [*seen.values(), b.num_rows])
+
+    rows = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    found = {r.word.encode(): r.n for r in rows}
+    return found, found.pop(b"", 0)
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
+                  ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
+
+
+def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of each whole text."""
+    frequency, files = frequencies(docs, templates)
+
+    def run(batches):
+        index = Index(templates, phrases, frequency, files)
+        for b in slices(batches):
+            rows = list(zip(*map(index, texts(b.column("text")))))
+            yield record_batch(_OUT, b.column("doc_id"), *rows)
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
+             "labels string, score double")
