@@ -81,8 +81,9 @@ class Postings:
         if hi > lo:
             ids, scores = np.delete(ids, np.s_[lo:hi]), np.delete(scores, np.s_[lo:hi])
         if not safe:
-            best = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
-            return ids[best], [int(min(max(scores[i], -_TOP - 1), _TOP)) for i in best]
+            held = [int(min(max(s, -_TOP - 1), _TOP)) for s in scores]
+            best = sorted(range(len(ids)), key=lambda i: (-held[i], ids[i]))[:k]
+            return ids[best], [held[i] for i in best]
         if len(ids) > k:
             border = np.partition(scores, len(ids) - k)[len(ids) - k]
             over, ties = np.flatnonzero(scores > border), np.flatnonzero(scores == border)

@@ -1,0 +1,52 @@
+"""Small document tables for the tests of the training-data operators."""
+
+from __future__ import annotations
+
+import random
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Names that operators use inside; as extra columns they must not get in the way.
+CLASH = ["score", "size", "key", "row", "fp", "tie", "rank", "spans", "label", "copies", "block", "text_key"]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+VOCABULARY = {
+    "en": "the of and stone river garden window light morning paper under slowly carried house".split(),
+    "de": "der und nicht straße über für garten fenster morgen langsam schön wäre haus größe".split(),
+    "fr": "le la et été très garçon fenêtre matin où déjà lumière maison rivière français".split(),
+}
+
+
+def prose(rng: random.Random, words: int, lang: str = "en") -> str:
+    own = VOCABULARY[lang]
+    return " ".join(rng.choice(own) + rng.choice(["", "", "", rng.choice(own), ",", "."]) for _ in range(words))
+
+
+def rows(n: int = 60, seed: int = 1) -> list[tuple]:
+    """Documents of all kinds: copies, near copies, shared passages, empty, null, very long, odd white space."""
+    rng = random.Random(seed)
+    out = []
+    passage = prose(rng, 60)
+    for i in range(n):
+        lang = rng.choice(["en", "en", "de", "fr"])
+        text = prose(rng, rng.choice([1, 2, 5, 40, 80, 300]), lang)
+        if i % 7 == 3 and out[i - 2][1]:
+            text = out[i - 2][1]
+        elif i % 7 == 5:
+            text = f"{text}\n{passage} {prose(rng, 50, lang)}"
+        elif i % 11 == 6 and out[i - 1][1]:
+            text = out[i - 1][1] + " " + rng.choice(VOCABULARY[lang])
+        out.append((i, text, lang, rng.choice(["a", "b", "b", "b", None]), len(text)))
+    out += [(n, None, "en", "a", None), (n + 1, "", None, "b", 0), (n + 2, " \t\n ", "de", None, 4),
+            (n + 3, "Ünïcode wörd\x0b\x0c two", "de", "c", 21), (n + 4, "1234 5678 !!", "fr", "c", 12),
+            (n + 5, prose(rng, 6000), "en", "a", None), out[4], out[4], (None, out[8][1], "en", None, None),
+            (None, out[8][1], "en", None, None)]
+    return out
+
+
+def frame(spark, data: list[tuple], clash: bool = False):
+    df = spark.createDataFrame(data, COLUMNS).repartition(3)
+    if clash:
+        from pyspark.sql import functions as F
+        df = df.select("*", *(F.lit("x").alias(c) for c in CLASH))
+    return df
