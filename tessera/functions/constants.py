@@ -21,7 +21,7 @@ HEADER_YEAR_PATTERN = r"^CY(\d{2})"
 # Cell text that means "no value" (after stripping white space).
 NULL_CELL_TOKENS = ["", "−", "-", "#DIV/0!", "nan", "None"]
 # Characters removed before a cell is parsed as a number (a percent is not divided).
-NUMBER_STRIP_PATTERN = r"[%,]"
+NUMBER_STRIP_CHARACTERS = "%,"
 # Dimension text that means "no code".
 NULL_DIM_TOKENS = ["null", "None", ""]
 

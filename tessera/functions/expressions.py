@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 from tessera.functions import constants as K
 
 # Python's str.strip() removes every character for which str.isspace() holds;
-# Spark's trim() removes spaces only. This class lists the former set.
-PY_WHITESPACE = (r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A"
-                 r"\u2028\u2029\u202F\u205F\u3000]")
-_STRIP_RE = f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$"
+# Spark's trim() removes spaces only. This lists the former set.
+PY_WHITESPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                                  *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 # Python float() grammar: optional sign, digits with single underscores
 # between digits, optional fraction and exponent; or inf/infinity/nan.
 _DIGITS = r"\d(?:_?\d)*"
 FLOAT_GRAMMAR = (rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
                  rf"(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))$")
+# The same without underscores and words: what nearly every cell is.
+_PLAIN_FLOAT = r"^[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?$"
 
 # White space used to split text into tokens (same set in Java regex and RE2).
 TOKEN_SPLIT = r"[ \t\n\r\f]+"
@@ -36,7 +37,7 @@ def _col(c: Column | str) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """Strip leading/trailing white space exactly like Python ``str.strip()``."""
-    return F.regexp_replace(_col(c), _STRIP_RE, "")
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def label_of(c: Column | str) -> Column:
@@ -48,12 +49,16 @@ def to_double(c: Column | str, null_tokens: Sequence[str] = K.NULL_CELL_TOKENS)
     """Tolerant cell parse: null tokens -> null, '%' and ',' removed, then a
     Python-float parse; anything unparseable -> null. A percent is not divided."""
     s = py_strip(_col(c))
-    cleaned = py_strip(F.regexp_replace(s, K.NUMBER_STRIP_PATTERN, ""))
+    cleaned = py_strip(F.translate(s, K.NUMBER_STRIP_CHARACTERS, ""))
     # Spark's cast takes no sign before "nan" (Python does; the value is NaN either way)
-    parsed = F.regexp_replace(F.regexp_replace(cleaned, "_", ""), r"(?i)^[+-](nan)$", "$1").try_cast("double")
-    return (F.when(_col(c).isNull() | s.isin(list(null_tokens)), F.lit(None).cast("double"))
-             .when(cleaned.rlike(FLOAT_GRAMMAR), parsed)
-             .otherwise(F.lit(None).cast("double")))
+    spelled = F.regexp_replace(F.translate(cleaned, "_", ""), r"(?i)^[+-](nan)$", "$1").try_cast("double")
+    null = F.lit(None).cast("double")
+    return (F.when(_col(c).isNull() | s.isin(list(null_tokens)), null)
+             .when(cleaned.rlike(_PLAIN_FLOAT), cleaned.try_cast("double"))
+             # underscores, inf and nan: looked at only where their letters occur
+             .when(cleaned.contains("_") | F.lower(cleaned).contains("n"),
+                   F.when(cleaned.rlike(FLOAT_GRAMMAR), spelled))
+             .otherwise(null))
 
 
 def norm_dim(c: Column | str, null_tokens: Sequence[str] = K.NULL_DIM_TOKENS) -> Column:

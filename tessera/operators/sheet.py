@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from tessera.functions import constants as K
 from tessera.functions.expressions import header_year, label_of, to_double, year_name
 from tessera.operators.ordered import LAST, MAX, NEXT, SUM, Scan, block_of, ordered_scan
-from tessera.operators.sizing import SMALL_TABLE_MAX_ROWS
 from tessera.session import materialize
 
 
@@ -60,8 +59,7 @@ class RowRules:
 
 def header_positions(raw: DataFrame, part: str = "sheet_id", order: str = "seq",
                      lo: int = K.YEAR_MIN, hi: int = K.YEAR_MAX,
-                     candidates: Column | None = None,
-                     first: DataFrame | None = None, n_sheets: int | None = None) -> DataFrame:
+                     candidates: Column | None = None, first: DataFrame | None = None) -> DataFrame:
     """(sheet_id, header_seq, year_col, pos): 0-based cell index of each year
     column, read from the first row of every sheet. Header cells are stripped
     and matched by the prefix ``CY\\d{2}``; years outside [lo, hi] are ignored
@@ -69,20 +67,13 @@ def header_positions(raw: DataFrame, part: str = "sheet_id", order: str = "seq",
     optionally restricts the rows that can hold the header (e.g. the first
     split of each file), so the aggregate sees only those."""
     src = raw if candidates is None else raw.filter(candidates)
-    # min(seq) per sheet is a hash aggregate over two narrow columns. While the
-    # sheets are few enough to broadcast, the header rows are picked by a
-    # broadcast semi-join (no sort, no shuffle of the cells); with more sheets
-    # a sort-based min_by keeps the cells local instead of shuffling them.
+    # min(seq) per sheet is a hash aggregate over two narrow columns; written,
+    # it has a known size, so the semi-join that picks the header rows is a
+    # broadcast while it is small and a shuffle join beyond
     if first is None:
-        first = src.groupBy(part).agg(F.min(order).alias("header_seq"))
-    if n_sheets is None:
-        n_sheets = first.limit(SMALL_TABLE_MAX_ROWS + 1).count()
-    if n_sheets <= SMALL_TABLE_MAX_ROWS:
-        hdr = (src.select(part, F.col(order).alias("header_seq"), F.col("cells").alias("hcells"))
-                  .join(F.broadcast(first), [part, "header_seq"], "left_semi"))
-    else:
-        hdr = src.groupBy(part).agg(F.min_by("cells", order).alias("hcells"),
-                                    F.min(order).alias("header_seq"))
+        first = materialize(src.groupBy(part).agg(F.min(order).alias("header_seq")), "sheet-first")
+    hdr = (src.select(part, F.col(order).alias("header_seq"), F.col("cells").alias("hcells"))
+              .join(first, [part, "header_seq"], "left_semi"))
     cells = hdr.select(part, "header_seq", F.posexplode("hcells").alias("pos", "text"))
     years = cells.select(part, "header_seq", "pos", header_year("text", lo, hi).alias("yr"))
     return (years.filter(F.col("yr").isNotNull())
@@ -133,12 +124,10 @@ def with_label(df: DataFrame) -> DataFrame:
 
 def prepare_rows(raw: DataFrame, part: str = "sheet_id", order: str = "seq",
                  keep_cells: bool = False, write: bool = True,
-                 header_candidates: Column | None = None,
-                 first: DataFrame | None = None, n_sheets: int | None = None) -> DataFrame:
+                 header_candidates: Column | None = None, first: DataFrame | None = None) -> DataFrame:
     """Raw sheet -> typed rows (part, order, [block], label, CY16..CY32),
     optionally written once to the shared checkpoint folder."""
-    header = header_positions(raw, part, order, candidates=header_candidates,
-                              first=first, n_sheets=n_sheets)
+    header = header_positions(raw, part, order, candidates=header_candidates, first=first)
     rows = parse_years(with_label(attach_header(raw, header, part, order)))
     if not keep_cells:
         rows = rows.drop("cells")
@@ -161,12 +150,11 @@ def prepare(raw: DataFrame, part: str = "sheet_id", order: str = "seq",
     # size is known and it is read again at no cost
     stats = materialize(raw.groupBy(part).agg(F.count(F.lit(1)).alias("n_rows"),
                                               F.min(order).alias("header_seq")), "sheet-stats")
-    agg = stats.agg(F.max("n_rows").alias("largest"), F.count(F.lit(1)).alias("n")).first()
-    largest, n_sheets = agg["largest"] or 0, agg["n"]
+    largest = stats.agg(F.max("n_rows")).first()[0] or 0
     blk = _layout(largest, order, block_rows, block)
     return prepare_rows(raw, part, order, write=blk is not None,
                         header_candidates=header_candidates,
-                        first=stats.select(part, "header_seq"), n_sheets=n_sheets), blk
+                        first=stats.select(part, "header_seq")), blk
 
 
 # ---------------------------------------------------------------------------
@@ -207,7 +195,8 @@ def walk_rows(rows: DataFrame, rules: RowRules, part: str = "sheet_id", order: s
     scans = [
         Scan("_anchor", LAST, F.when(~c, lab), False),
         Scan("_anchor_pos", LAST, F.when(~c, o), False),
-        Scan("_half", MAX, (lab == F.lit(rules.half_marker)).cast("int"), True),
+        # the marker counts where its row is dropped as excluded
+        Scan("_half", MAX, (excluded & (lab == F.lit(rules.half_marker))).cast("int"), True),
     ] + [Scan(f"_other{i}", LAST, F.when(c & (t != F.lit(tr)), o), False)
          for i, tr in enumerate(triggers)]
     nb = ordered_scan(nb, [part], [order], scans, block)

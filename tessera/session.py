@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,13 +63,15 @@ def get_spark(master: str | None = None, app: str = "tessera",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh scratch folder is created and set.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset a local session (tests) gets
+    a fresh scratch folder; on a cluster that would be a different disk on each machine, so it raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -77,10 +80,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_OPEN: list[list[str]] = []
+_OWN: set[str] = set()
+
+
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:16]}"
+    """A fresh path for a written table, in this application's part of the shared folder, which goes
+    when the driver ends."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tessera-{spark.sparkContext.applicationId}"
+    if base not in _OWN:
+        fs, where = _files(spark, base)
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+        _OWN.add(base)
+    path = f"{base}/{name}-{uuid.uuid4().hex[:16]}"
+    for held in _OPEN[-1:]:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """The tables materialised inside the block are removed at its end: for a job that has written
+    its result and goes on in the same session."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            fs, where = _files(spark, path)
+            fs.delete(where, True)
 
 
 def materialize(df, name: str):

@@ -24,9 +24,10 @@ from tessera.session import checkpoint_dir
 def run_incremental(spark: SparkSession, source: str, schema: StructType,
                     transform: Callable[[DataFrame], DataFrame], sink: str | None = None,
                     checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                    timeout_s: float | None = 600) -> str:
+                    timeout_s: float | None = None) -> str:
     """Process all available files of ``source`` through ``transform`` and
-    return the sink path. ``source`` may be a glob."""
+    return the sink path. ``source`` may be a glob. The run takes as long as it needs unless the
+    caller sets a limit."""
     base = checkpoint_dir(spark).rstrip("/")
     run = uuid.uuid4().hex[:12]
     sink = sink or f"{base}/stream-sink-{run}"
@@ -42,7 +43,10 @@ def run_incremental(spark: SparkSession, source: str, schema: StructType,
     q = (src.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError("incremental run did not finish")

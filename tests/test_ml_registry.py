@@ -1,12 +1,13 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.routing import champion
 from tessera.plans import classify_queries as CQ
 from tessera.plans import ml as ML
-from tessera.sources.sinks import read_registry, register_model
+from tessera.sources.sinks import promote, read_registry, register_model
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,13 +26,21 @@ def test_pipeline_save_load_score_and_register(spark):
     assert ML.write_features(model, docs, "id", os.path.join(d, "features")) == train.count()
     n = ML.score_batch(loaded, docs, "id", os.path.join(d, "scored"), "v1")
     assert n == train.count()
-    assert set(r.route for r in spark.read.parquet(os.path.join(d, "scored")).collect()) <= {"accept", "escalate"}
+    assert ML.score_batch(loaded, docs, "id", os.path.join(d, "scored"), "v1", vocabulary=ML.vocabulary(train)) == n
+    scored = spark.read.parquet(os.path.join(d, "scored"))
+    assert scored.count() == n and set(r.route for r in scored.collect()) <= {"accept", "escalate"}
     reg = os.path.join(d, "registry")
     register_model(spark, reg, "industry", 1, 0.50, os.path.join(d, "m1"), True)
     register_model(spark, reg, "industry", 2, 0.49, os.path.join(d, "m2"), False)
     register_model(spark, reg, "industry", 3, 0.55, os.path.join(d, "m3"), True)
     ch = champion(read_registry(spark, reg)).collect()
     assert [(r.model, r.version) for r in ch] == [("industry", 3)]
+    promote(spark, reg, "industry", 2)
+    assert [r.version for r in champion(read_registry(spark, reg)).collect()] == [2]
+    with pytest.raises(ValueError):
+        register_model(spark, reg, "industry", 2, 0.6, "again", False)
+    with pytest.raises(ValueError):
+        promote(spark, reg, "industry", 9)
 
 
 def test_class_weights_sum_to_n(spark):
