@@ -80,13 +80,13 @@ QUERIES = {f.__name__: f for f in (op1_mixing, op2_ann, op3_toxicity, op4_langid
 ORACLE = {
     "op5_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.w) + 1), i -> q.w[i] * c.w[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
@@ -107,7 +107,7 @@ WITH d AS (
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(k, 0) AS BIGINT) AS n_removed,
        sha256(array_to_string(CASE WHEN k IS NULL THEN w WHEN k = len(w) THEN []::VARCHAR[] ELSE
-         list_transform(list_filter(range(1, len(w) + 1), j -> NOT list_contains(gone, j)), j -> w[j]) END, ' ')) AS kept_sha256
+         list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(gone, j)), lambda j: w[j]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN m USING (r)
 """,
 }
