@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import record_batch, wide
+from tessera.llm.common import map_arrow, record_batch, wide
 from tessera.llm.topk import matrix, usable
 from tessera.session import materialize
 
@@ -217,7 +217,7 @@ def _visit(rows: DataFrame, k: int, width: int, bound: float) -> DataFrame:
                     yield record_batch(_HIT, *zip(*out))
 
     return (rows.repartition(wide(rows), "cell").sortWithinPartitions("cell", "asks", "id")
-            .mapInArrow(run, "ask long, point long, distance double"))
+            .transform(map_arrow, run, "ask long, point long, distance double"))
 
 
 def search(vectors: DataFrame, queries, k: int = 5, vec: str = "embedding", confidence: float = CONFIDENCE,
@@ -254,7 +254,7 @@ def search(vectors: DataFrame, queries, k: int = 5, vec: str = "embedding", conf
                     yield record_batch(out, b.column("id"), b.column("vec").cast(pa.list_(pa.float64())),
                                        splits.cell(unit(matrix(b.column("vec"), width)) @ turn))
 
-        return df.mapInArrow(run, "id long, vec array<double>, cell long")
+        return df.transform(map_arrow, run, "id long, vec array<double>, cell long")
 
     data = materialize(in_cells(points.select("id", "vec")).select(
         "cell", F.lit(0).alias("asks"), "id", F.lit(0.0).alias("limit"), "vec"), "ann-cells")
@@ -283,7 +283,7 @@ def search(vectors: DataFrame, queries, k: int = 5, vec: str = "embedding", conf
                                    own.column("id"), own.column("limit"),
                                    own.column("vec").cast(pa.list_(pa.float64())))
 
-    more = rest.mapInArrow(others, "cell long, asks int, id long, limit double, vec array<double>")
+    more = rest.transform(map_arrow, others, "cell long, asks int, id long, limit double, vec array<double>")
     hits = near.unionByName(_visit(data.unionByName(more), k + 1, width, bound))
     order = Window.partitionBy("ask").orderBy("distance", "point")
     hits = hits.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1).drop("place")
@@ -302,7 +302,7 @@ def search(vectors: DataFrame, queries, k: int = 5, vec: str = "embedding", conf
             own = b.column("vec").cast(pa.list_(pa.float64())).take(pa.array(np.repeat(np.arange(b.num_rows), size_)))
             yield record_batch(outs, own, ids.flatten(), np.repeat((x * y).sum(axis=1), size_))
 
-    scored = pairs.select("vec", "other", "ids").mapInArrow(exact, "vec array<double>, vec_id long, score double")
+    scored = pairs.select("vec", "other", "ids").transform(map_arrow, exact, "vec array<double>, vec_id long, score double")
     # an asking vector's best rows, then those that aren't the query's own
     by_vector = Window.partitionBy("vec").orderBy(F.desc("score"), "vec_id")
     best = scored.distinct().withColumn("place", F.row_number().over(by_vector)).where(F.col("place") <= 2 * k + 2)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,6 +73,29 @@ def word_counts(column: pa.Array) -> np.ndarray:
     return seen[offsets[1:]] - seen[offsets[:-1]]
 
 
+#: Bytes of a batch between the JVM and Python: both hold a few of them at a time.
+BATCH_BYTES = 8 << 20
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded in bytes (a session setting, since texts differ in size by
+    orders of magnitude); after its partition a worker gives back the memory it no longer uses."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return df.mapInArrow(tidy, schema)
+
+
 def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else c.combine_chunks() if isinstance(c, pa.ChunkedArray)
@@ -118,7 +143,7 @@ def group_map(df: DataFrame, key: str, order: list, kernel: Callable[[pa.Table],
         for table in whole_groups(batches, key, rows):
             yield from kernel(table)
 
-    return dealt.sortWithinPartitions(key, *order).mapInArrow(run, schema)
+    return map_arrow(dealt.sortWithinPartitions(key, *order), run, schema)
 
 
 def wide(df: DataFrame) -> int:

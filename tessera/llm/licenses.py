@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import record_batch, slices, texts
+from tessera.llm.common import map_arrow, record_batch, slices, texts
 
 #: Base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -161,7 +161,7 @@ def frequencies(docs: DataFrame, templates=TEMPLATES) -> tuple[dict[bytes, int],
                 seen.update(vocabulary.intersection(words_of(text)))
             yield record_batch(out, [*(w.decode() for w in seen), ""], [*seen.values(), b.num_rows])
 
-    rows = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").transform(map_arrow, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r.word.encode(): r.n for r in rows}
     return found, found.pop(b"", 0)
 
@@ -180,6 +180,6 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
             rows = list(zip(*map(index, texts(b.column("text")))))
             yield record_batch(_OUT, b.column("doc_id"), *rows)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
+    return docs.select("doc_id", "text").transform(
+        map_arrow, run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
              "labels string, score double")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.automaton import Automaton
-from tessera.llm.common import record_batch, slices, utf8_view
+from tessera.llm.common import map_arrow, record_batch, slices, utf8_view
 
 
 @dataclass(frozen=True)
@@ -137,8 +137,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, columns: tuple[str, .
             kept = [b.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, _SPAN)], [*columns, "spans"])
 
-    return (docs.select(*columns, "text").mapInArrow(
-        run, schema + ", spans array<struct<kind:string,start:int,end:int>>"))
+    return (docs.select(*columns, "text").transform(
+        map_arrow, run, schema + ", spans array<struct<kind:string,start:int,end:int>>"))
 
 
 def masked(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secret]") -> DataFrame:
@@ -164,7 +164,7 @@ def masked(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
                 b = b.set_column(k, b.schema.field(k), pa.array(text, b.schema.field(k).type))
             yield b
 
-    out = docs.mapInArrow(run, scanned)
+    out = docs.transform(map_arrow, run, scanned)
     if "n_chars" in docs.columns:  # the length of the text as it is now, where it was its length before
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull() & F.col("text").isNotNull(),
                                                F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, edges_of, group_map, record_batch, slices, texts
+from tessera.llm.common import components, edges_of, group_map, map_arrow, record_batch, slices, texts
 from tessera.session import materialize
 
 #: The blocks (first bit, bits) that are left out in turn.
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, width: int = 3, keys: tuple[Column, ...] = ())
             fp = majority(np.array(hashes, np.uint64), counts).view(np.int64)
             yield record_batch(out, *(b.column(f.name) for f in list(out)[:-1]), fp)
 
-    return docs.select("doc_id", *(k.alias(f"key{i}") for i, k in enumerate(keys)), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", *(k.alias(f"key{i}") for i, k in enumerate(keys)), "text").transform(map_arrow, run, schema)
 
 
 def variants(fps: DataFrame, fp: str = "fp") -> DataFrame:

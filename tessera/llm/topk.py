@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import record_batch, wide
+from tessera.llm.common import map_arrow, record_batch, wide
 from tessera.session import materialize
 
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 16_384
@@ -143,7 +143,7 @@ def search(vectors: DataFrame, queries, k: int = 5, scale: float = 256.0, vec: s
                 yield record_batch(_HITS, np.repeat(own_ids, [len(h[1]) for h in hits]),
                                    np.concatenate([h[1] for h in hits]), [s for h in hits for s in h[2]])
 
-    found = dealt.mapInArrow(run, "query_id long, vec_id long, score long")
+    found = dealt.transform(map_arrow, run, "query_id long, vec_id long, score long")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # repeated rows of an id
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
