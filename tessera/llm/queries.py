@@ -65,12 +65,14 @@ def digest(spans: str = "spans") -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def of_kinds(spans: str, *kinds: str) -> F.Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
-    base = F.filter("spans", lambda s: s["kind"].isin(*(r.kind for r in secret_scan.BASE)))
-    found = found.withColumn("base", base)
-    counts = [F.size(F.filter("base", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
-              for r in secret_scan.BASE]
+    found = found.withColumn("base", of_kinds("spans", *(r.kind for r in secret_scan.BASE)))
+    counts = [F.size(of_kinds("base", r.kind)).cast("long").alias(f"n_{r.kind}") for r in secret_scan.BASE]
     return found.select("doc_id", *counts, F.sha2(digest("base"), 256).alias("base_sha256"), digest().alias("spans"))
 
 
