@@ -27,6 +27,20 @@ def held_out(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+#: Steps of a lot: an eighth of an octave each.
+LOT_STEPS = 8 * 52 + 1
+
+
+def lot(*columns: str | Column, seed: int) -> Column:
+    """A number above 0, at most 1, by a hash of the columns."""
+    return (F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)) + F.lit(1)) / F.lit(float(1 << 52))
+
+
+def lot_step(*columns: str | Column, seed: int) -> Column:
+    """0 to ``LOT_STEPS`` - 1, growing with the lot: few counts find the rows of the least lots."""
+    return F.lit(LOT_STEPS - 1) + F.ceil(F.lit(8.0) * F.log2(lot(*columns, seed=seed)))
+
+
 def utf8_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null rows have length 0."""
     if column.null_count:
