@@ -43,6 +43,22 @@ def test_pipeline_save_load_score_and_register(spark):
         promote(spark, reg, "industry", 9)
 
 
+@pytest.mark.parametrize("classifier", ["rf", "gbt"])
+def test_trees_have_the_features_of_the_regression(spark, classifier):
+    # more terms than 2^12 buckets can tell apart
+    rows = [(" ".join(f"w{j}" for j in range(i * 300, i * 300 + 300)) + (" red" if i % 2 else " blue"), "ab"[i % 2])
+            for i in range(24)]
+    train = spark.createDataFrame(rows, "description string, industry string")
+    model = ML.fit(train, ML.text_pipeline(classifier=classifier))
+    tf = next(s for s in model.stages if s.__class__.__name__ == "HashingTF")
+    assert tf.getNumFeatures() == 1 << 18
+    out = model.transform(train).select("_tf", "_features", "_idf").collect()
+    kept = next(s for s in model.stages if s.__class__.__name__ == "VarianceThresholdSelectorModel").selectedFeatures
+    seen = {i for r in out for i in r._tf.indices}
+    assert seen <= set(kept) and len(seen) > 7_000 and out[0]._features.size == len(kept)
+    assert [r.prediction for r in ML.predict(model, train).select("prediction", "industry").collect()] == [r[1] for r in rows]
+
+
 def test_class_weights_sum_to_n(spark):
     from tessera.operators.training import class_distribution
     t = CQ.training_set(spark, SF)
