@@ -301,6 +301,37 @@ def test_langid_sample_reaches_every_language_whatever_its_texts_are_long(spark)
     assert sum(len(r.text) for r in texts) == sum(len(d[1]) for d in data[:3] if zlib.crc32(str(d[0]).encode()) % 5)
 
 
+def test_code_lengths_with_rare_contexts_dropped_are_those_of_a_plain_ppm_pruned_alike():
+    order, least, texts = 3, langid.LEAST_SEEN, (b"abracadabra", b"abrabracada", b"cab")
+    counts, seen = defaultdict(Counter), Counter()
+    for text in texts:
+        padded = b"\0\0\0" + text
+        for i in range(3, len(padded)):
+            seen[sum(padded[i - j] << (8 * j) for j in range(4))] += 1
+            for k in range(order + 1):
+                counts[padded[i - k:i]][padded[i]] += 1
+    kept = {c: n for c, n in counts.items() if len(c) < order or sum(n.values()) >= least}
+    assert least > 1 and len(kept) < len(counts)
+    trees = langid.Trees(["x"], {"x": (np.array(sorted(seen)), np.array([seen[g] for g in sorted(seen)]))}, order)
+    alphabet = [0, *b"abcdr", None]
+
+    def chances(context: bytes) -> dict:
+        shorter = chances(context[1:]) if context else {s: 1 / len(alphabet) for s in alphabet}
+        here = kept.get(context)
+        if not here:
+            return shorter
+        n, d = sum(here.values()), len(here)
+        rest = sum(p for s, p in shorter.items() if s not in here)
+        return {s: here[s] / (n + d) if s in here else d / (n + d) * shorter[s] / rest for s in alphabet}
+
+    for text in (b"abra", b"cad", b"cab", b"bbb", b"z"):
+        padded = b"\0\0\0" + text
+        want = -sum(math.log2(chances(bytes(x if x in alphabet else 1 for x in padded[i - 3:i]))[padded[i] if padded[i] in alphabet else None])
+                    for i in range(3, len(padded)))
+        got = trees.code_lengths(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0, 0]
+        assert abs(got - want) < 1e-3
+
+
 def test_code_lengths_are_those_of_a_plain_ppm():
     """The looked-up code lengths against method C with exclusion, walked context by context."""
     train = b"\0\0\0abracadabra\0\0\0abrabracada\0\0\0cab"
