@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, langid, licenses, mixing, packing, secret_scan, simhash, substrings, topk, toxicity
+from tessera.llm import (ann, langid, licenses, mixing, packing, secret_scan, simhash, substrings, topk, toxicity,
+                         urls)
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
@@ -76,8 +77,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(digest("base"), 256).alias("base_sha256"), digest().alias("spans"))
 
 
+#: The listed URLs of the filter's query: verdict, host, path.
+URL_RULES = """
+SELECT * FROM VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/') AS rules(verdict, host, path)
+"""
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_ann, op3_toxicity, op4_langid, op5_topk, op6_simhash,
-                                   op7_licenses, op8_substrings, op9_packing, op10_secrets)}
+                                   op7_licenses, op8_substrings, op9_packing, op10_secrets, op11_urls)}
 
 ORACLE = {
     "op5_topk": """
@@ -111,5 +123,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(k, 0) AS BIGINT)
        sha256(array_to_string(CASE WHEN k IS NULL THEN w WHEN k = len(w) THEN []::VARCHAR[] ELSE
          list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(gone, j)), lambda j: w[j]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN m USING (r)
+""",
+    "op11_urls": r"""
+WITH rules(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), a AS (
+  SELECT row_number() OVER () AS r, page_id,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT r, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM a
+), u AS (
+  SELECT r, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h
+), f AS (
+  SELECT u.r, x.host || x.path AS rule, verdict,
+         row_number() OVER (PARTITION BY u.r ORDER BY length(x.host || x.path) DESC, length(x.host) DESC) AS best
+  FROM u JOIN rules x ON (u.host = x.host OR ends_with(u.host, '.' || x.host)) AND starts_with(u.path, x.path)
+)
+SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM u LEFT JOIN f ON u.r = f.r AND f.best = 1
 """,
 }
