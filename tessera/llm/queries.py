@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (ann, langid, licenses, mixing, packing, secret_scan, simhash, substrings, topk, toxicity,
-                         urls)
+from tessera.llm import (ann, langid, licenses, manifest, mixing, packing, secret_scan, simhash, spelling, substrings,
+                         topk, toxicity, urls)
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
@@ -88,8 +88,32 @@ def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
 
 
+#: Fields of a leaf, in order.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(tampered, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars").cast("decimal(20,0)"))
+    proofs, _, root = manifest.build(docs, list(LEAF), [more if c == "n_chars" else F.col(c) for c in LEAF])
+    whole = F.lit(root).cast("binary")
+
+    def text(c):
+        return F.lower(F.hex(c))
+
+    return proofs.select(F.col("id").alias("doc_id"), text("leaf").alias("leaf"), text("subroot").alias("subroot"),
+                         text(whole).alias("root"), text("proof").alias("proof_sha256"), text("folded").alias("folded_root"),
+                         (F.col("folded") == whole).alias("verified"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_ann, op3_toxicity, op4_langid, op5_topk, op6_simhash,
-                                   op7_licenses, op8_substrings, op9_packing, op10_secrets, op11_urls)}
+                                   op7_licenses, op8_substrings, op9_packing, op10_secrets, op11_urls,
+                                   op12_manifest, op13_spelling)}
 
 ORACLE = {
     "op5_topk": """
@@ -143,5 +167,101 @@ WITH rules(verdict, host, path) AS (
 )
 SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
 FROM u LEFT JOIN f ON u.r = f.r AND f.best = 1
+""",
+    "op12_manifest": r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b] || list_transform(range(8), lambda k: 0), lambda c, k:
+      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang,
+    coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+    CAST(n_chars AS HUGEINT) AS n_chars, coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+    xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+  FROM documents CROSS JOIN crc_table
+), e AS (
+  SELECT *, CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS more FROM d
+), f AS (
+  SELECT r, doc_id, lang, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(length(CAST(more AS VARCHAR)) || ':' || more, '-') || tail) AS changed FROM e
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM f
+), tree(g, level, i, n, h) AS (
+  SELECT g, 0, i, count(*) OVER (PARTITION BY g), leaf FROM leaves
+  UNION ALL
+  SELECT g, any_value(level) + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY g, i // 2
+), upper(level, i, n, h) AS (
+  SELECT 0, g, count(*) OVER (), h FROM tree WHERE n = 1
+  UNION ALL
+  SELECT any_value(level) + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM upper WHERE n > 1 GROUP BY i // 2
+), steps AS (
+  SELECT r, t.level, l.i >> t.level AS place, s.h AS other FROM leaves l JOIN tree t ON l.g = t.g AND l.i >> t.level = t.i AND t.n > 1
+    LEFT JOIN tree s ON s.g = t.g AND s.level = t.level AND s.i = xor(t.i, 1)
+  UNION ALL
+  SELECT r, 100 + t.level, l.g >> t.level, s.h FROM leaves l JOIN upper t ON l.g >> t.level = t.i AND t.n > 1
+    LEFT JOIN upper s ON s.level = t.level AND s.i = xor(t.i, 1)
+), paths AS (
+  SELECT r, list({'place': place, 'other': other} ORDER BY level) AS p, string_agg(other, '' ORDER BY level) AS proof FROM steps GROUP BY r
+), folds(r, k, h) AS (
+  SELECT r, 1, changed FROM leaves
+  UNION ALL
+  SELECT r, k + 1, sha256(CASE WHEN p[k].other IS NULL THEN h WHEN p[k].place % 2 = 1 THEN p[k].other || h ELSE h || p[k].other END)
+  FROM folds JOIN paths USING (r) WHERE k <= len(p)
+), folded AS (
+  SELECT r, arg_max(h, k) AS h FROM folds GROUP BY r
+)
+SELECT doc_id, leaf, s.h AS subroot, u.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded.h AS folded_root,
+  folded.h = u.h AS verified
+FROM leaves JOIN (SELECT g, h FROM tree WHERE n = 1) s USING (g) CROSS JOIN (SELECT h FROM upper WHERE n = 1) u
+  JOIN folded USING (r) LEFT JOIN paths USING (r)
+""",
+    "op13_spelling": r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b] || list_transform(range(8), lambda k: 0), lambda c, k:
+      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents
+), own AS (
+  SELECT doc_id, w, count(*) AS n FROM runs GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, n, xor(list_reduce([4294967295] || flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''),
+      lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) - 64 AS BIGINT)] END)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM own CROSS JOIN crc_table
+), spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION
+  SELECT x.word, y.word, y.n FROM cut x JOIN v y ON x.a || x.b = y.word
+  UNION
+  SELECT y.word, x.word, x.n FROM cut x JOIN v y ON x.a || x.b = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS form, max(n) AS form_n FROM near GROUP BY word
+), k AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * v.n THEN form END AS form,
+    CASE WHEN form_n >= 2 * v.n THEN form_n END AS form_n FROM v LEFT JOIN best USING (word)
+), chain(word, last, step) AS (
+  SELECT word, word, 0 FROM k
+  UNION ALL
+  SELECT c.word, k.form, step + 1 FROM chain c JOIN k ON c.last = k.word WHERE k.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(last, step) AS root FROM chain GROUP BY word
+)
+SELECT word, form, root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM k JOIN ends USING (word)
 """,
 }
