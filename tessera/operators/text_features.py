@@ -52,13 +52,11 @@ def top_terms_per_doc(docs: DataFrame, id_col: str, text_col: str, k: int = 5,
                     F.col("rank").cast("int").alias("rank"))
 
 
-def class_vocabulary(train: DataFrame, text_col: str = "description", label_col: str = "industry",
-                     k: int = 10, min_count: int = 1,
-                     stop_words: Sequence[str] = K.STOP_WORDS) -> DataFrame:
-    """Industry-specific vocabulary: per class the top-k terms by the
-    Laplace-smoothed log ratio of the term's rate inside vs outside the class:
-    ln((n_tc + 1) / (n_c + V)) - ln((n_t - n_tc + 1) / (N - n_c + V)).
-    ``min_count`` leaves out terms that a class has less often (none by default)."""
+def class_log_odds(train: DataFrame, text_col: str = "description", label_col: str = "industry",
+                   stop_words: Sequence[str] = K.STOP_WORDS) -> DataFrame:
+    """(cls, term, n_tc, log_odds): the Laplace-smoothed log ratio of the term's rate inside vs outside
+    the class, ln((n_tc + 1) / (n_c + V)) - ln((n_t - n_tc + 1) / (N - n_c + V)). As weights of terms they
+    make a linear classifier that needs no fit."""
     t = train.select(F.col(label_col).alias("cls"),
                      F.explode(tokens(text_col)).alias("term"))
     if stop_words:
@@ -75,7 +73,15 @@ def class_vocabulary(train: DataFrame, text_col: str = "description", label_col:
     j = tc.join(nc, "cls").join(nt, "term")
     lo = (F.log((F.col("n_tc") + 1.0) / (F.col("n_c") + vocab))
           - F.log((F.col("n_t") - F.col("n_tc") + 1.0) / (total - F.col("n_c") + vocab)))
-    scored = j.filter(F.col("n_tc") >= min_count).withColumn("log_odds", lo)
+    return j.select("cls", "term", "n_tc", lo.alias("log_odds"))
+
+
+def class_vocabulary(train: DataFrame, text_col: str = "description", label_col: str = "industry",
+                     k: int = 10, min_count: int = 1,
+                     stop_words: Sequence[str] = K.STOP_WORDS) -> DataFrame:
+    """Industry-specific vocabulary: per class the top-k terms by their log odds (``class_log_odds``).
+    ``min_count`` leaves out terms that a class has less often (none by default)."""
+    scored = class_log_odds(train, text_col, label_col, stop_words).filter(F.col("n_tc") >= min_count)
     out = top_k(scored, "cls", "log_odds", k, "term")
     return out.select(F.col("cls").alias(label_col), "term", F.col("n_tc").cast("bigint").alias("n"),
                       F.round("log_odds", 6).alias("log_odds"), F.col("rank").cast("int").alias("rank"))

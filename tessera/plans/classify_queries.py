@@ -185,6 +185,7 @@ QUERIES.update({
 
 
 TAU = 0.01
+OOD_QUANTILE = 0.99
 N_CLASSES = 10
 CLASSES = K.INDUSTRIES[:N_CLASSES]
 VERSION = "v1"
@@ -248,7 +249,7 @@ def _fit_centroid_model(spark, root, extra_train: DataFrame | None) -> CE.Centro
     if extra_train is not None:
         train = train.unionByName(extra_train.join(v.select("id", "embedding"), "id")
                                              .select("id", "industry", "embedding"))
-    return CE.fit_centroids(train, "industry", "embedding", TAU)
+    return CE.fit_centroids(train, "industry", "embedding", TAU, OOD_QUANTILE)
 
 
 def scored_vectors(spark, root) -> DataFrame:
@@ -452,10 +453,10 @@ def _scored_sql(train_where: str = "split = 'train'", extra_cte: str = "") -> st
          FROM emb),
   cen AS (SELECT t.industry AS k, ex.pos, avg(ex.x) AS c
           FROM trainset t JOIN ex ON ex.id = t.id WHERE {train_where} GROUP BY ALL),
-  d AS (SELECT ex.id, cen.k, sum((ex.x - cen.c) * (ex.x - cen.c)) AS d2
+  d AS MATERIALIZED (SELECT ex.id, cen.k, sum((ex.x - cen.c) * (ex.x - cen.c)) AS d2
         FROM ex JOIN cen ON ex.pos = cen.pos GROUP BY ALL),
-  thr AS (SELECT max(d.d2) AS t FROM d JOIN trainset t ON t.id = d.id AND t.industry = d.k
-          WHERE {train_where}),
+  thr AS (SELECT d.k, quantile_disc(d.d2, {OOD_QUANTILE}) AS t FROM d JOIN trainset t ON t.id = d.id AND t.industry = d.k
+          WHERE {train_where} GROUP BY d.k),
   dm AS (SELECT id, min(d2) AS dmin, arg_min(k, d2) AS pred FROM d GROUP BY id),
   pp AS (SELECT d.id, d.k, exp(-(d.d2 - dm.dmin) / {TAU}) / sum(exp(-(d.d2 - dm.dmin) / {TAU}))
                 OVER (PARTITION BY d.id) AS p
@@ -463,7 +464,7 @@ def _scored_sql(train_where: str = "split = 'train'", extra_cte: str = "") -> st
   pl AS (SELECT id, list(p ORDER BY p DESC) AS ps, list(k ORDER BY p DESC) AS ks FROM pp GROUP BY id),
   sc AS (SELECT emb.id, emb.industry, emb.split, dm.pred, pl.ps[1] AS confidence,
                 pl.ps[1] - coalesce(pl.ps[2], 0.0) AS gap, dm.dmin > thr.t AS ood, pl.ks[2] AS top2
-         FROM emb JOIN dm USING (id) JOIN pl USING (id), thr),
+         FROM emb JOIN dm USING (id) JOIN pl USING (id) JOIN thr ON thr.k = dm.pred),
   rt AS (SELECT sc.*, CASE WHEN confidence >= {K.ML_ACCEPT_CONFIDENCE} AND gap >= {K.ML_ACCEPT_GAP}
                                 AND NOT ood THEN 'accept' ELSE 'escalate' END AS route FROM sc)"""
 

@@ -1,0 +1,160 @@
+"""Thresholds, folds, keywords and growth against plain Python on small tables."""
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import folds as FO
+from tessera.operators import growth as GR
+from tessera.operators import thresholds as TH
+from tessera.plans import ml as ML
+
+PRED = "id long, actual string, predicted string, confidence double"
+
+
+def scored(n=400, seed=4):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        c = round(rng.random(), rng.choice([1, 2, 7]))
+        pred = rng.choice("abc")
+        rows.append((i, pred if rng.random() < (c if pred != "c" else 0.0) else "x", pred, c))
+    return rows + [(n, None, "a", 0.9), (n + 1, "a", None, 0.9), (n + 2, "a", "a", None), (n + 3, "b", "d", 0.4)]
+
+
+def steps(c):
+    return math.floor(c * 1e6 + 0.5)
+
+
+@pytest.mark.parametrize("wanted", [0.5, 0.8, 0.99])
+def test_thresholds_are_the_least_that_reach_the_precision(spark, wanted):
+    rows = scored()
+    df = spark.createDataFrame(rows, PRED).repartition(3)
+    curve = TH.precision_curve(df)
+    got = {r.industry: r for r in TH.precision_thresholds(curve, wanted).collect()}
+    given = {r.id: r.accepted_label for r in TH.abstain_below(df, TH.precision_thresholds(curve, wanted)).collect()}
+    support = Counter(a for _, a, _, _ in rows)
+    assert set(got) == {"a", "b", "c", "d"} and len(given) == len(rows)
+    for cls in got:
+        own = [(steps(c), a == p) for _, a, p, c in rows if p == cls and c is not None]
+        best = None
+        for t in sorted({s for s, _ in own}):
+            kept = [ok for s, ok in own if s >= t]
+            if sum(kept) / len(kept) >= wanted:
+                best = (t, len(kept), sum(kept))
+                break
+        r = got[cls]
+        assert (r.step, r.kept, r.correct) == (best or (None, 0, 0))
+        assert r.recall == ((best[2] / support[cls]) if best and support[cls] else 0.0)
+        for i, _, p, c in rows:
+            if p == cls:
+                assert given[i] == (cls if best and c is not None and steps(c) >= best[0] else None)
+    assert got["c"].threshold is None and given[401] is None
+
+
+def test_lower_bound_is_stricter(spark):
+    curve = TH.precision_curve(spark.createDataFrame(scored(2000), PRED))
+    plain = {r.industry: r.step for r in TH.precision_thresholds(curve, 0.8).collect()}
+    sure = {r.industry: r.step for r in TH.precision_thresholds(curve, 0.8, z=1.64).collect()}
+    assert all(sure[c] is None or sure[c] >= plain[c] for c in plain) and sure != plain
+    empty = TH.precision_thresholds(TH.precision_curve(spark.createDataFrame([], PRED)), 0.5)
+    assert empty.count() == 0
+
+
+def test_folds_are_stratified_and_repeatable(spark):
+    rows = [(i, "big" if i % 10 else "small") for i in range(3000)] + [(i, None) for i in range(3000, 3007)]
+    df = spark.createDataFrame(rows, "id long, cls string")
+    got = FO.stratified_folds(df, "cls", F.col("id"), 7).collect()
+    again = FO.stratified_folds(df.repartition(9), "cls", F.col("id"), 7).collect()
+    assert sorted((r.id, r.fold) for r in got) == sorted((r.id, r.fold) for r in again) and len(got) == len(rows)
+    sizes = defaultdict(Counter)
+    for r in got:
+        sizes[r.cls][r.fold] += 1
+    assert all(len(c) == 7 and max(c.values()) - min(c.values()) <= 1 for c in sizes.values())
+    with pytest.raises(ValueError):
+        FO.stratified_folds(df, "cls", F.col("id"), 1)
+
+
+def test_recommendation_takes_the_simplest_family_that_is_not_worse(spark):
+    def metrics(**of):
+        rows = [(f, i, 10, v, v) for f, values in of.items() for i, v in enumerate(values)]
+        return spark.createDataFrame(rows, "family string, fold int, n long, accuracy double, f1 double")
+
+    close = {"simple": [0.80, 0.82, 0.79, 0.81, 0.80], "deep": [0.81, 0.80, 0.82, 0.80, 0.82], "poor": [0.5, 0.51, 0.5, 0.52, 0.5]}
+    r = {x.family: x for x in FO.recommend(metrics(**close), ["simple", "deep", "poor"]).collect()}
+    assert r["simple"].recommended and not r["deep"].recommended and r["poor"].differs
+    assert r["deep"].best == "deep" and r["deep"].lead == 0.0
+    d = np.array(close["deep"]) - np.array(close["simple"])
+    assert math.isclose(r["simple"].t, d.mean() / (d.std(ddof=1) / math.sqrt(5)), rel_tol=1e-9)
+    far = metrics(simple=[0.6, 0.61, 0.6], deep=[0.9, 0.91, 0.92])
+    assert {x.family for x in FO.recommend(far, ["simple", "deep"]).collect() if x.recommended} == {"deep"}
+    tie = metrics(simple=[0.5, 0.6], deep=[0.5, 0.6])
+    assert {x.family for x in FO.recommend(tie, ["simple", "deep"]).collect() if x.recommended} == {"simple"}
+
+
+def texts(spark):
+    rng = random.Random(2)
+    words = {c: [f"{c}{i}" for i in range(30)] for c in "xyz"}
+    rows = [(f"row {i} " + " ".join(rng.choice(words[c] + words["x"]) for _ in range(25)), c)
+            for i, c in enumerate("xyz" * 20)]
+    return spark.createDataFrame(rows, "description string, industry string")
+
+
+@pytest.mark.parametrize("features", ["hashed", "vocabulary"])
+def test_contributions_and_intercept_add_up_to_the_margin(spark, features):
+    train = texts(spark)
+    model = ML.fit(train, ML.text_pipeline(features=features, num_features=1 << 6, max_iter=20))
+    docs = train.union(spark.createDataFrame([("unseen words only", "x"), ("", "x"), ("x1 x1 x1 y2", "y")], train.schema)).withColumn(
+        "id", F.md5("description"))
+    every = ML.explain_predictions(model, docs, "id", k=None).collect()
+    total = defaultdict(float)
+    margin = {}
+    for r in every:
+        total[r.id] += r.contribution
+        margin[r.id] = r.margin - r.intercept
+    assert len(total) == 62 and all(math.isclose(total[i], margin[i], abs_tol=1e-9) for i in total)
+    top = ML.explain_predictions(model, docs, "id", k=3).collect()
+    best = defaultdict(list)
+    for r in every:
+        best[r.id].append((-r.contribution, r.term))
+    for r in top:
+        assert sorted(best[r.id])[r.rank - 1] == (-r.contribution, r.term) and r.contribution > 0 and r.rank <= 3
+    if features == "vocabulary":  # a term of its own: none shares another's weight by collision
+        w = {r.term: tuple(r.weights) for r in ML.term_weights(model, spark.createDataFrame([(t,) for t in ("x1", "y1", "nothing")], "term string")).collect()}
+        assert w["nothing"] == (0.0, 0.0, 0.0) and w["x1"] != w["y1"]
+
+
+def test_selected_features_are_the_model_of_the_full_width(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    train = texts(spark)
+    model = ML.fit(train, ML.text_pipeline(num_features=1 << 10))
+    lr = next(s for s in model.stages if s.__class__.__name__ == "LogisticRegressionModel")
+    kept = next(s for s in model.stages if s.__class__.__name__ == "VarianceThresholdSelectorModel").selectedFeatures
+    from tessera.operators.training import attach_class_weights, class_distribution
+    data = attach_class_weights(train, class_distribution(train), "industry")
+    rows = Pipeline(stages=model.stages[:5]).fit(data).transform(data)
+    full = LogisticRegression(featuresCol="_idf", labelCol="_label", family="multinomial", weightCol="weight",
+                              maxIter=100, tol=1e-6, regParam=0.01).fit(rows)
+    wide = full.coefficientMatrix.toArray()
+    rest = np.delete(wide, kept, axis=1)
+    assert len(kept) < 200 and not rest.any()
+    assert np.allclose(wide[:, kept], lr.coefficientMatrix.toArray(), atol=1e-6)
+
+
+def test_growth_of_nested_samples(spark):
+    rows = [(i, " ".join(f"w{(i * j) % (7 * i + 3)}" for j in range(20))) for i in range(300)] + [(None, "only here"), (301, None)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    got = GR.vocabulary_growth(docs, "id", "text").orderBy("level").collect()
+    level = {r.id: r.l for r in docs.select("id", GR.sample_level(F.col("id")).alias("l")).collect()}
+    for r in got:
+        own = [t.split() for i, t in rows if t and level[i] <= r.level]
+        assert (r.n_tokens, r.n_terms) == (sum(map(len, own)), len({w for t in own for w in t}))
+        assert r.n_docs == sum(level[i] <= r.level for i, _ in rows)
+    points = spark.createDataFrame([(x, 3.0 * x ** 0.5) for x in (1.0, 2.0, 4.0, 9.0)] + [(5.0, 0.0)], "x double, y double")
+    fit = GR.power_fit(points, "x", ["y"], 100.0).first()
+    assert fit.points == 4 and math.isclose(fit.exponent, 0.5, abs_tol=1e-9)
+    assert math.isclose(fit.ln_projected, math.log(30.0), abs_tol=1e-9) and fit.ln_high - fit.ln_low < 1e-5
