@@ -90,8 +90,11 @@ def test_general_documents_and_empty_tables(spark):
     assert spelling.variants(corpus.frame(spark, [(1, None, None, None, None), (2, "a b", "en", "s", 3)])).count() == 0
 
 
-def test_tasks_that_hand_on_early_count_alike(spark, monkeypatch):
-    monkeypatch.setattr(spelling, "HELD", 3)
+@pytest.mark.parametrize("held", [3, 150])
+def test_tasks_that_hand_on_early_count_alike(spark, monkeypatch, held):
+    monkeypatch.setattr(spelling, "HELD", held)
+    monkeypatch.setattr(spelling, "SLICE_BYTES", 50)
+    monkeypatch.setattr(spelling, "SHORT", 6)
     rows = texts()[:5]
     assert sorted(map(tuple, spelling.variants(corpus.frame(spark, rows)).collect())) == sorted(expected(rows))
 
