@@ -59,7 +59,7 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), most=4096, end_id=1)
-    return packing.pack(cut, most=4096).drop("tie")
+    return packing.pack(cut, most=4096).drop("row")
 
 
 def digest(spans: str = "spans") -> F.Column:
