@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import classify_queries, selection_queries, sheet_queries
+from tessera.plans import classify_queries, job_queries, selection_queries, sheet_queries
 
-_MODULES = [sheet_queries, classify_queries, selection_queries]
+_MODULES = [sheet_queries, classify_queries, selection_queries, job_queries]
 
 
 def all_queries():

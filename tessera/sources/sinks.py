@@ -37,6 +37,20 @@ def write_table(df: DataFrame, target: str | None = None, mode: str = "overwrite
     return int(obs.get["n"])
 
 
+def overwrite_partitions(df: DataFrame, target: str) -> None:
+    """Replace exactly the partitions of catalog table ``target`` that ``df`` has rows in. Files are staged and
+    moved at the commit, so ``df`` may read the table it replaces. The mode is a session setting (an
+    insert into a catalog table takes no option for it) and is put back afterwards."""
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(target)
+    finally:
+        spark.conf.set(mode, before)
+    spark.catalog.refreshTable(target)
+
+
 def append_new(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose ``key`` is not yet in ``existing`` (anti join on the
     key only), for idempotent appends."""
