@@ -1,0 +1,96 @@
+"""Every stage of the pipeline on nulls, empty and long texts, repeated rows, clashing names and empty tables."""
+
+from __future__ import annotations
+
+import os
+import random
+import sys
+import tempfile
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus  # noqa: E402
+
+NAMES = ["key", "_like", "key0", "key1", "row", "full0", "full1", "component_fp", "flagged", "each", "copy", "nth", "block"]
+
+
+def place(spark, rows, labels):
+    path = tempfile.mkdtemp(prefix="tessera-pipeline-")
+    docs = spark.createDataFrame(rows, corpus.COLUMNS)
+    docs = docs.select("*", *(F.lit(f"x-{c}").alias(c) for c in NAMES))
+    docs.repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path, spark.read.parquet(f"{path}/documents.parquet")
+
+
+def data():
+    rows = corpus.rows(40)
+    rng = random.Random(5)
+    vile = [(1000 + i, "vile hateful scum " + " ".join(rng.choice(["idiot", "filth", "trash", "hate"]) for _ in range(20)) + f" n{i}", "en", "b", None)
+            for i in range(60)]
+    labels = [(i, 1, 0) for i in range(40)] + [(1000 + i, 0, 1) for i in range(60)] + [(None, None, 1), (1000, 0, 1), (5, None, None)]
+    secret = (2000, "password = hunter2secret and AKIA" + "A" * 20, "de", "a", 7)
+    return rows + vile + [secret, secret], labels
+
+
+def without_ids(df):
+    return [tuple(r) for r in df.select("doc_id", "text", "lang", "source", *NAMES).collect()]
+
+
+@pytest.fixture(scope="module")
+def stages():
+    import corpus_pipeline as P
+    return dict(P.STAGES)
+
+
+def test_every_stage_keeps_names_and_rows(spark, stages):
+    rows, labels = data()
+    path, docs = place(spark, rows, labels)
+    whole = Counter(without_ids(docs))
+    for name in ("toxicity", "near_duplicates", "secrets", "mixing"):
+        out = stages[name](spark, docs, path)
+        assert out.columns == docs.columns
+        got = Counter(without_ids(out))
+        assert all(r[-len(NAMES):] == tuple(f"x-{c}" for c in NAMES) for r in got)
+        if name == "toxicity":
+            assert not got - whole and {r[0] for r in got} >= set(range(40)) - {None}
+            assert sum(n for r, n in got.items() if r[0] is not None and 1000 <= r[0] < 1060) <= 3
+            # rows alike stay or go together
+            assert all(got[r] in (0, whole[r]) for r in whole)
+        elif name == "near_duplicates":
+            assert not got - whole and max(got.values()) == 1 and len(got) < len(whole)
+        elif name == "secrets":
+            assert sum(got.values()) == len(rows)
+            assert all("hunter2secret" not in (r[1] or "") for r in got)
+            assert sum(n for r, n in got.items() if r[1] is None) == sum(x[1] is None for x in rows)
+        else:
+            assert not {r for r in got} - set(whole)
+    pieces = stages["packing"](spark, docs, path)
+    assert Counter(r.doc_id for r in pieces.where("piece = 0").collect()) == Counter(r[0] for r in rows)
+
+
+def test_the_run_goes_through(spark):
+    import corpus_pipeline as P
+    rows, labels = data()
+    path, _ = place(spark, rows, labels)
+    out = P.run(spark, path)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    held = Counter()
+    for r in out.collect():
+        held[r.sequence_id] += r.length
+    assert held and max(held.values()) <= 4096
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 4, [(1, "", None, None, 0), (2, "  ", "en", "s", 2)]],
+                         ids=["empty table", "nulls", "empty texts"])
+def test_stages_on_little(spark, stages, rows):
+    path, docs = place(spark, rows, [])
+    assert stages["toxicity"](spark, docs, path).count() == len(rows)
+    assert stages["near_duplicates"](spark, docs, path).count() == min(1, len(rows))
+    assert stages["secrets"](spark, docs, path).count() == len(rows)
+    assert stages["mixing"](spark, docs, path).count() == 0  # no words, nothing to take
+    assert stages["packing"](spark, docs, path).count() == len(rows)
