@@ -49,6 +49,11 @@ def test_trees_have_the_features_of_the_regression(spark, classifier):
     rows = [(" ".join(f"w{j}" for j in range(i * 300, i * 300 + 300)) + (" red" if i % 2 else " blue"), "ab"[i % 2])
             for i in range(24)]
     train = spark.createDataFrame(rows, "description string, industry string")
+    # a session that has observed a count cannot be serialised: the model must not hold it
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    train.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == len(rows)
     model = ML.fit(train, ML.text_pipeline(classifier=classifier))
     tf = next(s for s in model.stages if s.__class__.__name__ == "HashingTF")
     assert tf.getNumFeatures() == 1 << 18
@@ -59,6 +64,22 @@ def test_trees_have_the_features_of_the_regression(spark, classifier):
     assert [r.prediction for r in ML.predict(model, train).select("prediction", "industry").collect()] == [r[1] for r in rows]
 
 
+def test_capacity_is_fitted_over_sizes(spark):
+    points = [("score", float(n), 0.01 * n ** 0.9) for n in (100, 200, 400)] + [("train", 50.0, 1.0), ("train", 100.0, 4.0)]
+    r = {x.job: x for x in ML.capacity_report(spark.createDataFrame(points, "job string, size double, seconds double"), 4000, 10**6).collect()}
+    assert r["score"].rows == 400 and abs(r["score"].exponent - 0.9) < 1e-6 and abs(r["score"].daily_seconds - 0.01 * 4000 ** 0.9) < 1e-6
+    assert r["score"].historical_low <= r["score"].historical_seconds <= r["score"].historical_high
+    assert abs(r["train"].exponent - 2) < 1e-6 and r["train"].historical_low is None
+
+
+def test_families_are_compared_on_the_same_folds(spark):
+    rows = [(" ".join(f"{c}{(i * j) % 7}" for j in range(1, 9)) + f" row{i}", c) for i in range(20) for c in "ab"]
+    got = {r.family: r for r in CQ.compare_models(spark.createDataFrame(rows, "description string, industry string"), 2,
+                                                  num_features=64, max_iter=10).collect()}
+    assert set(got) == set(CQ.COMPARED) and all(r.folds == 2 for r in got.values())
+    assert sum(r.recommended for r in got.values()) == 1 and got["lr"].mean > 0.9
+
+
 def test_class_weights_sum_to_n(spark):
     from tessera.operators.training import class_distribution
     t = CQ.training_set(spark, SF)
