@@ -11,7 +11,8 @@ rows. The language of the least code length wins.
 
 Defined results: a null text, and a text without letters, is ``und`` with score 0; a null id or
 language is never learned from; without any learned language everything is ``und``; equal code
-lengths go to the first language in code point order; repeated rows get the same prediction.
+lengths go to the first language in code point order; repeated rows get the same prediction; very long
+texts are read whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ Hashes that stand for stretches and texts have 128 bits.
 
 Defined results: a null or empty text has no words and keeps none; documents shorter than the
 window keep everything; repeated rows (also rows with the same id) are documents of their own,
-so all their windows repeat; a null id is an id like any other; other columns are ignored.
+so all their windows repeat; a null id is an id like any other; very long texts are split into runs
+like any other; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

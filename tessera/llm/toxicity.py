@@ -12,7 +12,8 @@ scores by language and label; they never change a score.
 
 Defined results: a null or empty text has the score of no words; a null id is never learned
 from; a null language has the threshold of all languages; labels that contradict each other
-count as toxic; without labels of both classes every score is 0; repeated rows score alike.
+count as toxic; without labels of both classes every score is 0; repeated rows score alike; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
