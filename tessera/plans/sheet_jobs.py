@@ -18,7 +18,7 @@ from tessera.functions import constants as K
 from tessera.operators import reshape as RS
 from tessera.operators import tagging as TG
 from tessera.operators.sheet import BLOCK_ROWS, RowRules, prepare
-from tessera.session import tune_for_wide_plans
+from tessera.session import materialize, tune_for_wide_plans
 from tessera.sources.sheet import read_reference_csv, read_sheet_csv
 from tessera.sources.sinks import write_table
 
@@ -27,10 +27,12 @@ log = logging.getLogger(__name__)
 
 def sheet_rows(spark: SparkSession, path: str, block_rows: int = BLOCK_ROWS):
     """Raw CSV sheet(s) -> typed rows and their scan layout (SC1, SC2, PF1, PF6).
-    A sheet larger than ``block_rows`` is scanned split by split."""
+    A sheet larger than ``block_rows`` is scanned split by split. The layout, the headers and the rows each
+    read the sheets, which may be very many small files, so their cells are written once as a table."""
     tune_for_wide_plans(spark)
+    raw = materialize(read_sheet_csv(spark, path), "sheet-cells")
     # the header is the first line of a file, which lies in its first split
-    return prepare(read_sheet_csv(spark, path), block_rows=block_rows, block=F.col("block"),
+    return prepare(raw, block_rows=block_rows, block=F.col("block"),
                    header_candidates=F.col("block") == 0)
 
 

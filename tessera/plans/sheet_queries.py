@@ -217,14 +217,21 @@ def q_tag_by_section(spark, root):
     return tagged_by_section(spark, root)
 
 
+def _written(rows: DataFrame, blk) -> DataFrame:
+    """The typed rows for a query that reads all their cells twice: rows in blocks are written already."""
+    return materialize(rows, "sheet-rows") if blk is None else rows
+
+
 def q_tag_by_lookup(spark, root):
     rows, blk = prepared(spark, root)
+    rows = _written(rows, blk)
     return TG.tag_by_lookup(rows, reference_sheet(rows), TEST_ROW_RULES, block=blk,
                             ref_block=_ref_block(blk))
 
 
 def q_lookup_misses(spark, root):
     rows, blk = prepared(spark, root)
+    rows = _written(rows, blk)
     ref = reference_sheet(rows, drop_label=MISSING_FROM_REFERENCE)
     return TG.lookup_misses(rows, ref, TEST_ROW_RULES, block=blk, ref_block=_ref_block(blk))
 

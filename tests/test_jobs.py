@@ -82,6 +82,21 @@ def test_large_csv_sheet_split_and_blocked(spark):
     assert [r.CY16 for r in out] == sorted(r.CY16 for r in out)
 
 
+def test_sheet_files_are_read_once_and_written_by_many_tasks(spark):
+    from tessera.plans import job_queries as J
+    path = J.sheet_files(spark, "/root/testdata/sf0.001")
+    parts = {f.split("part-")[1][:5] for f in spark.read.text(path).inputFiles()}
+    assert len(parts) > 1
+    rows, blk = SJ.sheet_rows(spark, path)
+    assert blk is None and all(f.endswith(".parquet") for f in rows.inputFiles())
+
+
+def test_rows_that_a_lookup_reads_twice_are_written(spark):
+    from tessera.plans import sheet_queries as S
+    rows, blk = S.prepared(spark, "/root/testdata/sf0.001")
+    assert blk is None and all("/sheet-rows-" in f for f in S._written(rows, blk).inputFiles())
+
+
 def test_fixture_blocked_equals_unblocked(spark):
     from tessera.operators.sheet import emitted_rows, prepare
     from tessera.plans import sheet_queries as S
