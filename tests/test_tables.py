@@ -91,3 +91,10 @@ def test_a_calendar_prunes_the_days_that_are_read(spark, place):
     out = on_days(spark.table(name), spark.read.parquet(path + "-calendar").filter("weekday = 3"), "day")
     assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == rows.filter("id % 30 % 7 = 3").count()
+
+
+def test_wide_plans_keep_generated_methods_compilable(spark):
+    from tessera.session import tune_for_wide_plans
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    tune_for_wide_plans(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
