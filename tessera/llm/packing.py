@@ -30,8 +30,8 @@ from tessera.session import materialize
 BLOCK_PIECES = 50_000
 #: Chunks of text, and their bytes, whose ids a task remembers (twice as many at the turn of a generation).
 REMEMBERED, REMEMBERED_BYTES = 300_000, 32 << 20
-#: Text bytes encoded at once.
-SLICE_BYTES = 12 << 20
+#: Text bytes encoded at once: their masks, offsets and ids take some thirty times as much while it lasts.
+SLICE_BYTES = 4 << 20
 
 
 #: Bytes after which a comma or full stop begins a token of its own.
