@@ -1,0 +1,47 @@
+"""Term counts and TF-IDF: counted in the row, joined by broadcast for frequent terms, and by a shuffle for the rest."""
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+from tessera.functions import constants as K
+from tessera.operators import text_features as TF
+
+ROWS = [(1, "b a  a c"), (2, "a d"), (2, "a\tE e"), (None, "a f"), (None, "f g a"), (3, ""), (4, None), (5, "   "), (6, "a"),
+        (7, "The ż z Z b")]
+
+
+def expected(rows, k):
+    counts = defaultdict(Counter)
+    for i, text in rows:
+        counts[i].update(t for t in (text or "").lower().split() if t not in K.STOP_WORDS)
+    df = Counter(t for c in counts.values() for t in c)
+    cf = sum(counts.values(), Counter())
+    out = set()
+    for i, c in counts.items():
+        best = sorted(c, key=lambda t: (-c[t] * math.log((len(rows) + 1) / (df[t] + 1)), t))[:k]
+        out |= {(i, t, c[t], df[t], cf[t], n + 1) for n, t in enumerate(best)}
+    return out
+
+
+# all terms by broadcast, some, none
+@pytest.mark.parametrize("limit", [1 << 20, 2 * TF.TERM_BYTES + 50, 1])
+def test_top_terms_whatever_is_frequent(spark, monkeypatch, limit):
+    monkeypatch.setattr(TF, "FREQUENT_BYTES", limit)
+    docs = spark.createDataFrame(ROWS, "id int, text string").repartition(3)
+    got = TF.top_terms_per_doc(docs, "id", "text", 2).collect()
+    assert {(r.id, r.term, r.tf, r.df, r.cf, r.rank) for r in got} == expected(ROWS, 2) and len(got) == len(expected(ROWS, 2))
+
+
+def test_counts_of_single_rows_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, f"a b{i} a") for i in range(20)], "id int, text string")
+    counts = TF.term_counts(docs, "id", "text")
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert {(r.id, r.term): r.tf for r in counts.collect()} == {(i, t): n for i in range(20) for t, n in ((f"b{i}", 1), ("a", 2))
+                                                              if t not in K.STOP_WORDS}
+
+
+def test_rows_that_are_beaten_in_their_batch_go(spark):
+    rows = [(i, s) for i in (1, 2) for s in (3.0, 1.0, 2.0, 2.0, 0.0)] + [(None, 0.0), (None, 9.0)]
+    got = TF.keep_best(spark.createDataFrame(rows, "id int, s double").coalesce(1), "id", "s", 2).collect()
+    assert sorted((r.id or 0, r.s) for r in got) == [(0, 0.0), (0, 9.0), (1, 2.0), (1, 2.0), (1, 3.0), (2, 2.0), (2, 2.0), (2, 3.0)]
