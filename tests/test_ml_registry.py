@@ -87,3 +87,23 @@ def test_class_weights_sum_to_n(spark):
     cd = class_distribution(t).collect()
     assert abs(sum(r.weight_balanced * r.n for r in cd) - n) < 1e-3 * n
     assert abs(sum(r.pct for r in cd) - 100.0) < 1e-3
+
+
+def test_families_share_the_features_of_a_fold(spark, monkeypatch):
+    written, materialize = [], ML.materialize
+    monkeypatch.setattr(ML, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    rows = [(" ".join(f"{c}{(i * j) % 7}" for j in range(1, 5)) + f" row{i}", c) for i in range(12) for c in "ab"]
+    data = spark.createDataFrame([*rows, ("only here", "c")], "description string, industry string")
+    got = CQ.compare_models(data, 2, num_features=64, max_iter=3).collect()
+    assert len(got) == len(CQ.COMPARED) and written.count("training-rows") == 2
+
+
+def test_featured_rows_are_predicted_as_texts(spark):
+    rows = [(" ".join(f"{c}{(i * j) % 7}" for j in range(1, 5)) + f" row{i}", c) for i in range(12) for c in "abc"]
+    train = spark.createDataFrame(rows, "description string, industry string")
+    test = spark.createDataFrame([("a1 b2 c3", "a"), ("b1 new", "new"), ("", None)], "description string, industry string")
+    pipe = ML.text_pipeline(num_features=64, max_iter=5)
+    with ML.fit_features(train, pipe) as features:
+        own = ML.predict(ML.fit_classifier(features, pipe), features.applied(test), featured=True)
+        got = [tuple(r) for r in own.select("industry", "prediction", "confidence", "gap").collect()]
+    assert got == [tuple(r) for r in ML.predict(ML.fit(train, pipe), test).select("industry", "prediction", "confidence", "gap").collect()]
