@@ -134,3 +134,20 @@ def test_featured_rows_are_predicted_as_texts(spark):
         own = ML.predict(ML.fit_classifier(features, pipe), features.applied(test), featured=True)
         got = [tuple(r) for r in own.select("industry", "prediction", "confidence", "gap").collect()]
     assert got == [tuple(r) for r in ML.predict(ML.fit(train, pipe), test).select("industry", "prediction", "confidence", "gap").collect()]
+
+
+def test_the_comparison_takes_the_families_as_the_pipeline_has_them(spark, monkeypatch):
+    def settings(pipe):
+        stages = pipe.getStages()
+        own = [stages[-2].getClassifier()] if stages[-2].hasParam("classifier") else []
+        return [(type(s).__name__, {p.name: v for p, v in s.extractParamMap().items() if p.name not in ("classifier", "outputCol")})
+                for s in [*stages, *own]]
+
+    made, text_pipeline = [], ML.text_pipeline
+    monkeypatch.setattr(ML, "text_pipeline", lambda **options: made.append((options["classifier"], text_pipeline(**options))) or made[-1][1])
+    monkeypatch.setattr(CQ.FO, "fold_predictions", lambda rows, families, k, prepare: rows.limit(0).select(
+        F.lit("lr").alias("family"), "fold", F.col("industry").alias("actual"), F.col("industry").alias("predicted")))
+    CQ.q_model_comparison(spark, SF)
+    assert [c for c, _ in made] == ["lr", "rf", "gbt"]
+    for c, pipe in made:
+        assert settings(pipe) == settings(text_pipeline(classifier=c))
