@@ -90,9 +90,10 @@ RULE_SCHEMA = "half int, label string, " + ", ".join(f"{d} string" for d in DIMS
 MISSING_FROM_REFERENCE = "Late Road"
 
 
-def sheet_src(spark: SparkSession, root: str) -> DataFrame:
+def sheet_src(spark: SparkSession, root: str, events: DataFrame | None = None) -> DataFrame:
+    """The test sheets, of all events unless ``events`` are given."""
     tune_for_wide_plans(spark)
-    return spark.sql(SHEET_SRC_SQL, events=table(spark, root, "events"))
+    return spark.sql(SHEET_SRC_SQL, events=table(spark, root, "events") if events is None else events)
 
 
 def _header_cell(k: int) -> F.Column:
@@ -103,15 +104,15 @@ def _header_cell(k: int) -> F.Column:
                     F.when((F.lit(k) + sid) % 7 == 0, F.lit(" plan")).otherwise(F.lit("")))
 
 
-def raw_sheet(spark: SparkSession, root: str) -> DataFrame:
+def raw_sheet(spark: SparkSession, root: str, events: DataFrame | None = None) -> DataFrame:
     """(sheet_id, seq, cells): header row at seq 0, then the data rows. The
     test sheet stands in for a stored file, so it is written once as a table
     in the shared checkpoint folder and read from there."""
-    return materialize(build_raw_sheet(spark, root), "raw-sheet")
+    return materialize(build_raw_sheet(spark, root, events), "raw-sheet")
 
 
-def build_raw_sheet(spark: SparkSession, root: str) -> DataFrame:
-    src = sheet_src(spark, root)
+def build_raw_sheet(spark: SparkSession, root: str, events: DataFrame | None = None) -> DataFrame:
+    src = sheet_src(spark, root, events)
     extra = (F.when(F.col("sheet_id") % 4 == 0, F.lit("CY2017"))
               .when(F.col("sheet_id") % 4 == 1, F.lit("CY33"))
               .when(F.col("sheet_id") % 4 == 2, F.lit("Notes")))
@@ -124,13 +125,13 @@ def build_raw_sheet(spark: SparkSession, root: str) -> DataFrame:
     return header.unionByName(data)
 
 
-def prepared(spark: SparkSession, root: str):
+def prepared(spark: SparkSession, root: str, events: DataFrame | None = None):
     """Typed rows of the test sheets and their scan layout (see sheet.prepare)."""
-    return prepare(raw_sheet(spark, root))
+    return prepare(raw_sheet(spark, root, events))
 
 
-def parsed_rows(spark: SparkSession, root: str) -> DataFrame:
-    return prepared(spark, root)[0]
+def parsed_rows(spark: SparkSession, root: str, events: DataFrame | None = None) -> DataFrame:
+    return prepared(spark, root, events)[0]
 
 
 def section_rules(spark: SparkSession) -> TG.SectionRules:
