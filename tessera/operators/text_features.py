@@ -63,13 +63,17 @@ TERM_BYTES = 100
 
 def frequent_from(df: DataFrame, limit: int | None = None) -> int:
     """The least document frequency, a power of two, down to which the terms of ``df`` (term, df, ...) take
-    ``limit`` bytes at most; 1 if all of them do. A sum for each power comes to the driver, 64 at most."""
+    ``limit`` bytes at most; 1 if all of them do. Where the session broadcasts nothing the limit is 0: a hot term is left to
+    the skew join. A sum for each power comes to the driver, 64 at most."""
+    if limit is None:
+        off = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().startswith("-")
+        limit = 0 if off else FREQUENT_BYTES
     level = F.length(F.bin("df")).alias("level")
     sums = df.groupBy(level).agg(F.sum(F.octet_length("term") + TERM_BYTES).alias("size")).collect()
     least, held = None, 0
     for r in sorted(sums, key=lambda r: -r.level):
         held += r["size"]
-        if held > (FREQUENT_BYTES if limit is None else limit):
+        if held > limit:
             return least or 1 << r.level
         least = 1 << (r.level - 1)
     return 1
