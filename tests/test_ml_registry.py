@@ -187,3 +187,14 @@ def test_stream_scoring_makes_its_training_set_once(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert len(made) == 1 and sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
     assert {r.route for r in rows} <= {"accept", "escalate"}
+
+
+def test_capacity_writes_no_row_twice_for_the_largest_sample(spark, monkeypatch):
+    written, materialize = [], ML.materialize
+    small_fit(monkeypatch)
+    monkeypatch.setattr(ML, "materialize", lambda df, name: written.append((name, df.count())) or materialize(df, name))
+    rows = spark.createDataFrame([(i, f"w{i} a", "xy"[i % 2]) for i in range(200)], "id int, description string, industry string")
+    points = ML.capacity_points(None, rows.select("id", "description"), "id", rows.select("description", "industry")).collect()
+    assert {(p.job, p.size) for p in points} >= {("train", 200.0), ("score", 200.0)} and len(points) == 6
+    assert [n for name, n in written if name == "capacity-sample" and n == 200] == []
+    assert len([n for name, n in written if name == "capacity-sample"]) == 4
